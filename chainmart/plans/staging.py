@@ -47,9 +47,10 @@ def price_rule(close: Column) -> Rule:
     return Rule("bad_close", close.isNull() | F.coalesce(close.try_cast("double") > 0, F.lit(False)))
 
 
-def listing_price_rule(price: Column) -> Rule:
-    """A listed asset needs a numeric price above zero."""
-    return Rule("bad_price", price.try_cast("double") > 0)
+def listing_price_rule(price: Column, is_number: Column | None = None) -> Rule:
+    """A listed asset needs a price above zero; a number written as text does not count."""
+    positive = price.try_cast("double") > 0
+    return Rule("bad_price", positive if is_number is None else is_number & positive)
 
 
 def candle_rules() -> list[Rule]:
@@ -72,6 +73,7 @@ def clean_candles(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
     valid, rejects = split_valid(landed, candle_rules())
     typed = valid.withColumns(
         {
+            "raw_key": F.concat_ws("|", "symbol", "interval"),
             "symbol": clean_symbol(F.col("symbol")),
             "interval": F.trim("interval"),
             "trading_day": iso_date(F.col("trading_day")),
@@ -103,12 +105,17 @@ CANDLE_COLUMNS = (
 
 
 def stage_candles(
-    target: DataFrame | None, landed: DataFrame, now: Column, order: Sequence[str] = ("updated_at",)
+    target: DataFrame | None,
+    landed: DataFrame,
+    now: Column,
+    order: Sequence[str] = ("updated_at", "raw_key"),
 ) -> tuple[DataFrame, DataFrame]:
-    """``(new staging state, rejects)``: last write per candle, a known trading day is kept."""
+    """``(new staging state, rejects)``: last write per candle, a known trading day is kept.
+
+    Landing keys are raw text and two of them may clean to the same candle; the raw
+    spelling settles what equal stamps leave open.
+    """
     typed, rejects = clean_candles(landed)
-    # landing keys are raw text; two of them may clean to the same candle, so the raw
-    # spelling settles what equal stamps leave open
     updates = typed.select(
         *CANDLE_COLUMNS, now.alias("staged_at"), *[c for c in order if c not in CANDLE_COLUMNS]
     )
@@ -168,7 +175,7 @@ def listing_rules() -> list[Rule]:
         Rule("symbol_too_long", F.length(F.trim("symbol")) <= SYMBOL_WIDTH),
         Rule("name_too_long", F.length(F.trim("name")) <= NAME_WIDTH),
         Rule("slug_too_long", F.col("slug").isNull() | (F.length("slug") <= SLUG_WIDTH)),
-        listing_price_rule(F.col("price")),
+        listing_price_rule(F.col("price"), F.col("price_is_number")),
         *[
             Rule(f"out_of_range_{c}", fits(F.col(c), as_decimal(F.col(c), p, s)))
             for c, (p, s) in METRIC_DECIMALS.items()

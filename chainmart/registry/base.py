@@ -98,7 +98,7 @@ CANDLE = """
       SELECT event_id, ts,
              CASE WHEN user_id % 4 = 0 THEN 'BTCUSDT' ELSE 'ETHUSDT' END AS symbol,
              CASE WHEN event_id % 10 = 0 THEN '5m' ELSE '1m' END AS interval,
-             epoch_ms(ts) AS open_time_ms, epoch_ms(ts) + 59999 AS close_time_ms,
+             epoch_us(ts) // 1000 AS open_time_ms, epoch_us(ts) // 1000 + 59999 AS close_time_ms,
              CAST(ts AS DATE) AS trading_day, value AS close,
              CAST(json_extract(props, '$.k') AS BIGINT) AS k,
              CAST(json_extract(props, '$.k') AS BIGINT) AS volume,

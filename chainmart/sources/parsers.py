@@ -139,9 +139,10 @@ def parse_blocks(lines: DataFrame, ingestion_ds: str | Column, now: Column) -> D
     )
 
 
-def parse_listings(docs: DataFrame) -> DataFrame:
+def parse_listings(docs: DataFrame, *keep: str) -> DataFrame:
     """Listing documents with the number of assets each one carries; bad files give NULL."""
     return docs.select(
+        *keep,
         "file_path",
         "file_name",
         F.array_size(F.try_variant_get("doc", "$.data", "array<variant>")).alias("n_assets"),
@@ -161,6 +162,9 @@ def explode_listings(raw: DataFrame, doc: str, *keep: str) -> DataFrame:
         *keep,
         "pos",
         complete.alias("is_complete"),
+        F.schema_of_variant(F.try_variant_get("item", "$.quote.USD.price", "variant"))
+        .rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
+        .alias("price_is_number"),
         field("item", "id", "bigint").alias("crypto_id"),
         *[field("item", f).alias(f) for f in LISTING_FIELDS[1:]],
         *[field("item", f"quote.USD.{f}").alias(f) for f in QUOTE_FIELDS],

@@ -25,7 +25,8 @@ def scan_jsonl(
 
     Columns: ``value`` (trimmed line), ``doc`` (VARIANT, NULL unless the line is a JSON
     object), ``file_path``, ``file_name``, ``file_block_start``, ``row_id``. Streaming sources
-    take ``cleanSource`` (archive or delete) and ``maxFilesPerTrigger`` as options.
+    take ``cleanSource`` (archive or delete) and ``maxFilesPerTrigger`` as options; their
+    ``row_id`` is set per batch, by ``streaming.upsert_into``.
     """
     lines = _reader(spark, glob, stream, **options).text(path)
     value = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
@@ -35,7 +36,7 @@ def scan_jsonl(
         path_col.alias("file_path"),
         F.element_at(F.split(path_col, "/"), -1).alias("file_name"),
         F.col("_metadata.file_block_start").alias("file_block_start"),
-        F.monotonically_increasing_id().alias("row_id"),
+        (F.lit(None).cast("bigint") if stream else F.monotonically_increasing_id()).alias("row_id"),
     ).where("value <> ''").withColumn(
         "doc", F.when(F.startswith("value", F.lit("{")), F.try_parse_json("value"))
     )
@@ -45,7 +46,7 @@ def scan_documents(
     spark: SparkSession, path: str, glob: str = "*.json", stream: bool = False, **options: str
 ) -> DataFrame:
     """One row per file with the whole document parsed; ``doc`` is NULL for a bad file."""
-    files = _reader(spark, glob, stream, wholetext="true", **options).text(path)
+    files = _reader(spark, glob, stream, **options).text(path, wholetext=True)
     path_col = F.col("_metadata.file_path")
     return files.select(
         F.col("value"),
