@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import at, minute_bucket, minute_ceiling, pearson, time_key
 from ..operators.asof import asof_join
-from ..operators.joins import scalar_key, star_join
+from ..operators.joins import scalar_key
 from ..operators.merge import dedupe, merge_upsert
 from .star import Star
 
@@ -52,28 +52,31 @@ def _ts(key: str) -> Column:
 
 
 def selected_candles(star: Star, sel: Selection, start, end) -> DataFrame:
-    """Candles of the selection within the window: ``(ts, close, quote_asset_volume)``."""
-    fact = star.fact_candle.where(F.col("close").isNotNull() & _in_window("open_time_key", start, end))
-    return star_join(
-        fact,
-        [
-            (star.dim_asset.where(F.col("symbol") == sel.asset).select("asset_key"), "asset_key"),
-            (star.dim_interval.where(F.col("interval") == sel.interval).select("interval_key"), "interval_key"),
-            (
-                star.dim_exchange.where(F.col("exchange_name") == sel.exchange).select("exchange_key"),
-                "exchange_key",
-            ),
-        ],
+    """Candles of the selection within the window: ``(ts, close, quote_asset_volume)``.
+
+    Each dimension is narrowed to one member, so its key is looked up as a scalar and
+    compared in the scan; nothing is joined and no dimension is sent around.
+    """
+    exchange = scalar_key(star.dim_exchange, F.col("exchange_name") == sel.exchange, "exchange_key")
+    asset = scalar_key(star.dim_asset, F.col("symbol") == sel.asset, "asset_key")
+    interval = scalar_key(star.dim_interval, F.col("interval") == sel.interval, "interval_key")
+    return star.fact_candle.where(
+        F.col("close").isNotNull()
+        & _in_window("open_time_key", start, end)
+        & (F.col("asset_key") == asset)
+        & (F.col("interval_key") == interval)
+        & (F.col("exchange_key") == exchange)
     ).select(_ts("open_time_key").alias("ts"), "close", "quote_asset_volume")
 
 
 def selected_blocks(star: Star, sel: Selection, start, end) -> DataFrame:
     """Blocks of the chain within the window: ``(ts, base_fee_per_gas)``."""
-    fact = star.fact_block.where(
-        F.col("base_fee_per_gas").isNotNull() & _in_window("block_time_key", start, end)
-    )
-    chain = star.dim_chain.where(F.col("chain_name") == sel.chain).select("chain_key")
-    return star_join(fact, [(chain, "chain_key")]).select(_ts("block_time_key").alias("ts"), "base_fee_per_gas")
+    chain = scalar_key(star.dim_chain, F.col("chain_name") == sel.chain, "chain_key")
+    return star.fact_block.where(
+        F.col("base_fee_per_gas").isNotNull()
+        & _in_window("block_time_key", start, end)
+        & (F.col("chain_key") == chain)
+    ).select(_ts("block_time_key").alias("ts"), "base_fee_per_gas")
 
 
 def price_by(candles: DataFrame, group: Column, name: str) -> DataFrame:

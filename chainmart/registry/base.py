@@ -8,20 +8,13 @@ from __future__ import annotations
 
 import textwrap
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import from_epoch_ms, from_epoch_s, time_key
 from ..plans.analytics import Selection
-from ..plans.star import (
-    Star,
-    build_dim_asset,
-    build_dim_interval,
-    seed_chains,
-    seed_exchanges,
-    surrogate,
-)
+from ..plans.star import build_dim_asset, build_dim_interval, seed_chains, seed_exchanges
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,8 +36,23 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+# Schemas are declared, so building a query reads no file footers.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def utc(c: str | Column) -> Column:
@@ -62,34 +70,35 @@ def rounded(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: r6(c) for c in cols})
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+# the counter inside props, read once per expression
+K = "cast(get_json_object(props, '$.k') as bigint)"
 
 
 def candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged candles out of the ``view`` events."""
-    e = table(spark, sf_dir, "events").where("event_type = 'view'")
-    ms = F.unix_millis(utc("ts"))
-    none = F.lit(None).cast("double")
-    return e.select(
-        "event_id",
-        "ts",
-        F.when(F.col("user_id") % 4 == 0, "BTCUSDT").otherwise("ETHUSDT").alias("symbol"),
-        F.when(F.col("event_id") % 10 == 0, "5m").otherwise("1m").alias("interval"),
-        ms.alias("open_time_ms"),
-        (ms + 59999).alias("close_time_ms"),
-        F.to_date("ts").alias("trading_day"),
-        F.col("value").alias("open"),
-        (F.col("value") + _k()).alias("high"),
-        F.col("value").alias("low"),
-        F.col("value").alias("close"),
-        _k().cast("double").alias("volume"),
-        (F.col("value") * _k()).alias("quote_asset_volume"),
-        _k().cast("int").alias("number_of_trades"),
-        none.alias("taker_buy_base_volume"),
-        none.alias("taker_buy_quote_volume"),
-        F.lit("events").alias("source_file"),
-        utc("ts").alias("ingested_at"),
+    return (
+        table(spark, sf_dir, "events")
+        .where("event_type = 'view'")
+        .selectExpr(
+            "event_id",
+            "ts",
+            "if(user_id % 4 = 0, 'BTCUSDT', 'ETHUSDT') as symbol",
+            "if(event_id % 10 = 0, '5m', '1m') as interval",
+            "unix_millis(cast(ts as timestamp)) as open_time_ms",
+            "unix_millis(cast(ts as timestamp)) + 59999 as close_time_ms",
+            "to_date(ts) as trading_day",
+            "value as open",
+            f"value + {K} as high",
+            "value as low",
+            "value as close",
+            f"cast({K} as double) as volume",
+            f"value * {K} as quote_asset_volume",
+            f"cast({K} as int) as number_of_trades",
+            "cast(null as double) as taker_buy_base_volume",
+            "cast(null as double) as taker_buy_quote_volume",
+            "'events' as source_file",
+            "cast(ts as timestamp) as ingested_at",
+        )
     )
 
 
@@ -108,24 +117,26 @@ CANDLE = """
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged blocks out of the ``click`` events."""
-    e = table(spark, sf_dir, "events").where("event_type = 'click'")
-    none = F.lit(None)
-    return e.select(
-        "event_id",
-        "ts",
-        F.concat(F.lit("0x"), F.lpad(F.lower(F.hex("event_id")), 64, "0")).alias("block_hash"),
-        F.col("event_id").alias("block_number"),
-        F.unix_seconds(utc("ts")).alias("timestamp_unix"),
-        _k().cast("int").alias("tx_count"),
-        none.cast("string").alias("miner"),
-        (_k() * 1000).alias("gas_used"),
-        none.cast("bigint").alias("gas_limit"),
-        none.cast("int").alias("size_bytes"),
-        F.round(F.col("value") * 1e9).cast("bigint").alias("base_fee_per_gas"),
-        none.cast("bigint").alias("blob_gas_used"),
-        none.cast("bigint").alias("excess_blob_gas"),
-        utc("ts").alias("ingested_at"),
-        F.to_date("ts").alias("ingestion_ds"),
+    return (
+        table(spark, sf_dir, "events")
+        .where("event_type = 'click'")
+        .selectExpr(
+            "event_id",
+            "ts",
+            "concat('0x', lpad(lower(hex(event_id)), 64, '0')) as block_hash",
+            "event_id as block_number",
+            "unix_seconds(cast(ts as timestamp)) as timestamp_unix",
+            f"cast({K} as int) as tx_count",
+            "cast(null as string) as miner",
+            f"{K} * 1000 as gas_used",
+            "cast(null as bigint) as gas_limit",
+            "cast(null as int) as size_bytes",
+            "cast(round(value * 1e9) as bigint) as base_fee_per_gas",
+            "cast(null as bigint) as blob_gas_used",
+            "cast(null as bigint) as excess_blob_gas",
+            "cast(ts as timestamp) as ingested_at",
+            "to_date(ts) as ingestion_ds",
+        )
     )
 
 
@@ -141,26 +152,20 @@ BLOCK = """
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged market metrics out of the ``purchase`` events."""
-    e = table(spark, sf_dir, "events").where("event_type = 'purchase'")
-    none = F.lit(None).cast("double")
-    return e.select(
-        (F.col("user_id") + 1).alias("crypto_id"),
-        F.col("event_id").alias("metric_id"),
-        F.col("ts").alias("recorded_at"),
-        F.col("value").alias("price_usd"),
-        (F.col("value") * _k()).alias("volume_24h"),
-        F.when(F.col("event_id") % 7 != 0, F.col("value") * _k() * 1000).alias("market_cap"),
-        *[
-            none.alias(c)
-            for c in (
-                "percent_change_1h",
-                "percent_change_24h",
-                "percent_change_7d",
-                "circulating_supply",
-                "total_supply",
-                "max_supply",
-            )
-        ],
+    absent = ("percent_change_1h", "percent_change_24h", "percent_change_7d")
+    absent += ("circulating_supply", "total_supply", "max_supply")
+    return (
+        table(spark, sf_dir, "events")
+        .where("event_type = 'purchase'")
+        .selectExpr(
+            "user_id + 1 as crypto_id",
+            "event_id as metric_id",
+            "ts as recorded_at",
+            "value as price_usd",
+            f"value * {K} as volume_24h",
+            f"if(event_id % 7 <> 0, value * {K} * 1000, null) as market_cap",
+            *[f"cast(null as double) as {c}" for c in absent],
+        )
     )
 
 
@@ -175,12 +180,12 @@ SNAPSHOT = """
 
 def cryptos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed assets out of ``customer``; symbols repeat on purpose."""
-    return table(spark, sf_dir, "customer").select(
-        (F.col("c_custkey") + 1).alias("crypto_id"),
-        F.col("c_mktsegment").alias("symbol"),
-        F.col("c_name").alias("name"),
-        F.lower("c_name").alias("slug"),
-        F.lit(None).cast("timestamp_ntz").alias("last_updated"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey + 1 as crypto_id",
+        "c_mktsegment as symbol",
+        "c_name as name",
+        "lower(c_name) as slug",
+        "cast(null as timestamp_ntz) as last_updated",
     )
 
 
@@ -189,39 +194,67 @@ CRYPTO = """
       SELECT c_custkey + 1 AS crypto_id, c_mktsegment AS symbol, c_name AS name FROM customer)"""
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
-    """The shapes as a loaded star schema (one fact row per event)."""
-    c, b, s = candles(spark, sf_dir), blocks(spark, sf_dir), snapshots(spark, sf_dir)
-    return Star(
-        dim_exchange=seed_exchanges(spark),
-        dim_asset=build_dim_asset(None, c),
-        dim_interval=build_dim_interval(None, c),
-        dim_chain=seed_chains(spark),
-        dim_crypto=cryptos(spark, sf_dir),
-        fact_candle=c.select(
-            surrogate(F.lit("Binance")).alias("exchange_key"),
-            surrogate(F.col("symbol")).alias("asset_key"),
-            surrogate(F.col("interval")).alias("interval_key"),
-            time_key(from_epoch_ms(F.col("open_time_ms"))).alias("open_time_key"),
+class EventStar:
+    """The shapes as a loaded star schema, one fact row per event; tables are built when asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def dim_exchange(self) -> DataFrame:
+        return seed_exchanges(self.spark)
+
+    @cached_property
+    def dim_asset(self) -> DataFrame:
+        return build_dim_asset(None, candles(self.spark, self.sf_dir))
+
+    @cached_property
+    def dim_interval(self) -> DataFrame:
+        return build_dim_interval(None, candles(self.spark, self.sf_dir))
+
+    @cached_property
+    def dim_chain(self) -> DataFrame:
+        return seed_chains(self.spark)
+
+    @cached_property
+    def dim_crypto(self) -> DataFrame:
+        return cryptos(self.spark, self.sf_dir)
+
+    @cached_property
+    def fact_candle(self) -> DataFrame:
+        return candles(self.spark, self.sf_dir).selectExpr(
+            "xxhash64('Binance') as exchange_key",
+            "xxhash64(symbol) as asset_key",
+            "xxhash64(interval) as interval_key",
+            "unix_micros(timestamp_millis(open_time_ms)) as open_time_key",
             "close",
             "quote_asset_volume",
-        ),
-        fact_block=b.select(
-            surrogate(F.lit("Ethereum")).alias("chain_key"),
-            time_key(from_epoch_s(F.col("timestamp_unix"))).alias("block_time_key"),
+        )
+
+    @cached_property
+    def fact_block(self) -> DataFrame:
+        return blocks(self.spark, self.sf_dir).selectExpr(
+            "xxhash64('Ethereum') as chain_key",
+            "unix_micros(timestamp_seconds(timestamp_unix)) as block_time_key",
             "block_number",
             "base_fee_per_gas",
-        ),
-        fact_snapshot=s.select(
+        )
+
+    @cached_property
+    def fact_snapshot(self) -> DataFrame:
+        return snapshots(self.spark, self.sf_dir).selectExpr(
             "crypto_id",
-            time_key(F.col("recorded_at")).alias("time_key"),
-            F.col("metric_id").alias("staged_metric_id"),
+            "unix_micros(cast(recorded_at as timestamp)) as time_key",
+            "metric_id as staged_metric_id",
             "price_usd",
             "volume_24h",
             "market_cap",
             "percent_change_24h",
-        ),
-    )
+        )
+
+
+def star(spark: SparkSession, sf_dir: str) -> EventStar:
+    return EventStar(spark, sf_dir)
 
 
 # SQL of the bucketed aggregates shared by several oracles.

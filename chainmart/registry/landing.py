@@ -61,8 +61,12 @@ def candle_lines(spark, sf_dir):
 
 def written(spark, lines, label, one_per_file=False):
     path = shared_dir(spark, label)
-    writer = lines.write.option("maxRecordsPerFile", 1) if one_per_file else lines.write
-    writer.text(path)
+    if one_per_file:
+        # small files cost their creation, so every core creates its share
+        spread = lines.repartition(spark.sparkContext.defaultParallelism)
+        spread.write.option("maxRecordsPerFile", 1).text(path)
+    else:
+        lines.write.text(path)
     return path
 
 
