@@ -30,10 +30,11 @@ def missing_minutes(
     minute, hour = F.expr("interval 1 minute"), F.expr("interval 1 hour")
     bounds = df.sparkSession.range(1).select(first.alias("_first"), last.alias("_last"))
     # hours first, minutes second: no single row ever holds the whole spine
+    # (greatest: an empty range must not reach sequence, which is folded before the filter runs)
     hours = bounds.where("_first <= _last").select(
-        "_last", F.explode(F.sequence("_first", "_last", hour)).alias("_hour")
+        "_last", F.explode(F.sequence("_first", F.greatest("_first", "_last"), hour)).alias("_hour")
     )
-    hour_end = F.least("_last", F.col("_hour") + F.expr("interval 59 minutes"))
+    hour_end = F.greatest("_hour", F.least("_last", F.col("_hour") + F.expr("interval 59 minutes")))
     spine = hours.select(F.explode(F.sequence("_hour", hour_end, minute)).alias("minute_ts"))
     # compared on the bare column, so the range reaches the scan
     present = df.where((F.col(ts) >= first) & (F.col(ts) < last + minute)).select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,108 +10,101 @@ from pyspark.sql import functions as F
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row ``(measure, v)`` per non-null value."""
-    pairs = [F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("v")) for c in cols]
-    return df.select(F.inline(F.array(*pairs))).where(F.col("v").isNotNull())
-
-
-def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int) -> DataFrame:
-    """``(measure, p, lo, hi)``: bounds around each wanted quantile, len(cols) * len(probs) rows."""
+def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int) -> Column:
+    """Bounds around each wanted quantile: a scalar subquery, per column ``[lo, hi, lo, hi, ...]``."""
     margin = 2.0 / accuracy
-    edges = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
-    one = df.agg(
-        *[
-            F.percentile_approx(F.col(c).cast("double"), [float(e) for e in edges], accuracy).alias(c)
-            for c in cols
-        ]
-    )
-    rows = [
-        F.struct(
-            F.lit(c).alias("measure"),
-            F.lit(float(p)).alias("p"),
-            F.get(F.col(c), F.lit(2 * i)).alias("lo"),
-            F.get(F.col(c), F.lit(2 * i + 1)).alias("hi"),
-        )
-        for c in cols
-        for i, p in enumerate(probs)
-    ]
-    return one.select(F.inline(F.array(*rows)))
+    edges = [float(e) for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
+    sketches = [F.percentile_approx(F.col(c).cast("double"), edges, accuracy).alias(c) for c in cols]
+    return df.agg(F.struct(*sketches)).scalar()
 
 
 def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float] = QUARTILES, accuracy: int = 10_000
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float] = QUARTILES,
+    accuracy: int = 10_000,
+    beside: Mapping[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles as ``(measure, p, n, value)``.
 
+    ``beside`` names further aggregates of a column to carry along; they cost no pass of their own.
+
     A sketch brackets each quantile within a few 1/accuracy of the rows. One pass
-    counts what lies below the bracket; only distinct values inside it are
-    shuffled and ordered. ``percentile`` would gather every distinct value in one
-    task instead.
+    counts what lies below and inside each bracket; only distinct values inside
+    are shuffled and ordered. (``percentile`` would gather every distinct value of a
+    column in one task instead.) A rank outside its bracket would fail, not guess.
     """
-    # len(cols) * len(probs) rows out of a global aggregate: small whatever the data
-    bounds = F.broadcast(_brackets(df, cols, probs, accuracy))
-    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
-    tagged = _long(df, cols).join(bounds, "measure")
-    totals = tagged.groupBy("measure", "p").agg(
-        F.count("*").alias("n"),
-        F.count_if(v < lo).alias("below"),
-        F.count_if(v.between(lo, hi)).alias("inside"),
-        F.max(F.when(v < lo, v)).alias("prev_v"),
-        F.min(F.when(v > hi, v)).alias("next_v"),
+    # the subquery is attached once as a column; every use below refers to that column
+    df = df.select(
+        *[F.col(c).cast("double").alias(c) for c in cols],
+        _brackets(df, cols, probs, accuracy).alias("_bounds"),
     )
+    bounds = F.col("_bounds")
+    wanted = [
+        (c, float(p), F.col(c), bounds[c][2 * i], bounds[c][2 * i + 1])
+        for c in cols
+        for i, p in enumerate(probs)
+    ]
+    counts = [
+        F.struct(
+            F.lit(c).alias("measure"),
+            F.lit(p).alias("p"),
+            F.count(v).alias("n"),
+            F.count_if(v < lo).alias("below"),
+            F.count_if(v.between(lo, hi)).alias("inside"),
+            F.max(F.when(v < lo, v)).alias("prev_v"),
+            F.min(F.when(v > hi, v)).alias("next_v"),
+            *[agg(v).alias(name) for name, agg in (beside or {}).items()],
+        )
+        for c, p, v, lo, hi in wanted
+    ]
+    # one row per (column, quantile) whatever the data
+    totals = df.agg(F.array(*counts).alias("t")).select(F.inline("t")).where("n > 0")
+    hits = [
+        F.when(v.between(lo, hi), F.struct(F.lit(c).alias("measure"), F.lit(p).alias("p"), v.alias("v")))
+        for c, p, v, lo, hi in wanted
+    ]
     running = Window.partitionBy("measure", "p").orderBy("v")
     steps = (
-        tagged.where(v.between(lo, hi))
+        df.select(F.inline(F.array_compact(F.array(*hits))))
         .groupBy("measure", "p", "v")
         .agg(F.count("*").alias("same"))
         .withColumn("upto", F.sum("same").over(running))
     )
-    n, below, inside = F.col("n"), F.col("below"), F.col("inside")
-    place = (n - 1) * F.col("p")
-    low_rank, high_rank = F.floor(place), F.ceil(place)
+    place = (F.col("n") - 1) * F.col("p")
+    ranked = totals.withColumns({"low_rank": F.floor(place), "high_rank": F.ceil(place)})
 
-    def at_rank(rank: Column) -> Column:
-        found = F.min(F.when(F.col("upto") + below > rank, v))
+    def found(rank: str) -> Column:
+        return F.min(F.when(F.col("upto") + F.col("below") > F.col(rank), F.col("v"))).alias(f"{rank}_v")
+
+    def at_rank(rank: str) -> Column:
+        r, first = F.col(rank), F.col("below")
         return (
-            F.when(F.any_value(rank) == F.any_value(below) - 1, F.any_value("prev_v"))
-            .when(F.any_value(rank) == F.any_value(below) + F.any_value(inside), F.any_value("next_v"))
-            .when(
-                F.any_value(rank).between(F.any_value(below), F.any_value(below + inside) - 1), found
-            )
+            F.when(r == first - 1, F.col("prev_v"))
+            .when(r == first + F.col("inside"), F.col("next_v"))
+            .when(r.between(first, first + F.col("inside") - 1), F.col(f"{rank}_v"))
             .otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
         )
 
-    a, b = at_rank(low_rank), at_rank(high_rank)
-    share = F.any_value(place - low_rank)
+    low, high = at_rank("low_rank"), at_rank("high_rank")
+    share = (F.col("n") - 1) * F.col("p") - F.col("low_rank")
     return (
-        totals.join(steps, ["measure", "p"])
-        .groupBy("measure", "p")
-        .agg(F.any_value("n").alias("n"), (a + (b - a) * share).alias("value"))
+        ranked.join(steps, ["measure", "p"])
+        .groupBy(*ranked.columns)
+        .agg(found("low_rank"), found("high_rank"))
+        .select("measure", "p", "n", (low + (high - low) * share).alias("value"), *(beside or {}))
     )
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles, one row per measure."""
-    base = (
-        _long(df, cols)
-        .groupBy("measure")
-        .agg(
-            F.count("v").alias("count"),
-            F.avg("v").alias("mean"),
-            F.stddev_samp("v").alias("std"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max"),
-        )
-    )
-    name = lambda p: f"p{round(p * 100)}"
-    quartiles = (
-        exact_quantiles(df, cols)
-        .groupBy("measure")
-        .agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name(p)) for p in QUARTILES])
-    )
-    return base.join(quartiles, "measure").select(
-        "measure", "count", "mean", "std", "min", *[name(p) for p in QUARTILES], "max"
+    """Count, mean, sample deviation, extremes and exact quartiles, one row per measure with values."""
+    plain = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    name = {p: f"p{round(p * 100)}" for p in QUARTILES}
+    return (
+        exact_quantiles(df, cols, QUARTILES, beside=plain)
+        .groupBy("measure", F.col("n").alias("count"), *plain)
+        .agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name[p]) for p in QUARTILES])
+        .select("measure", "count", "mean", "std", "min", *name.values(), "max")
     )
 
 

@@ -294,7 +294,12 @@ def recompute_touched_buckets(
     """
     bucket = minute_bucket(F.col(ts), n).alias("hour_ts")
     touched = late.select(bucket).distinct()
-    again = blocks.withColumn("hour_ts", bucket).join(touched, "hour_ts", "left_semi")
+    # buckets never leave their hour, so whole hours around the late rows suffice to read
+    hour = F.expr("interval 1 hour")
+    first = late.agg(F.date_trunc("hour", F.min(ts)).cast("timestamp_ntz")).scalar()
+    last = late.agg(F.date_trunc("hour", F.max(ts)).cast("timestamp_ntz") + hour).scalar()
+    near = blocks.where((F.col(ts) >= first) & (F.col(ts) < last))
+    again = near.withColumn("hour_ts", bucket).join(touched, "hour_ts", "left_semi")
     fresh = fee_by(again, F.col("hour_ts"), "hour_ts")
     kept = target.join(touched, "hour_ts", "left_anti")
     return kept.unionByName(fresh.select(*target.columns))

@@ -233,8 +233,14 @@ def stage_blocks(spark, sf_dir):
     )
 
 
+PAGE = 5000
+
+
 def listing_documents(spark, sf_dir):
-    """One listing document per minute with purchases: ``(minute, value)``, items in id order."""
+    """Listing documents: per minute the assets quoted in it, an asset once, in pages of 5000 ids.
+
+    ``(minute, page, value)`` with items in id order; a page bounds what one document holds.
+    """
     s, i = b.snapshots(spark, sf_dir), F.col("metric_id")
     text = lambda c: F.col(c).cast("string")
     slug = F.when(i % 13 == 1, "").when(i % 13 == 2, '"slug":null,').otherwise(
@@ -248,8 +254,13 @@ def listing_documents(spark, sf_dir):
     )
     usd = F.when(i % 13 == 7, "{}").otherwise(
         F.concat(
-            F.lit('{"USD":{"price":'), price, F.lit(',"volume_24h":'), text("volume_24h"), F.lit(',"market_cap":'),
-            F.coalesce(text("market_cap"), F.lit("null")), F.lit("}}"),
+            F.lit('{"USD":{"price":'),
+            price,
+            F.lit(',"volume_24h":'),
+            text("volume_24h"),
+            F.lit(',"market_cap":'),
+            F.coalesce(text("market_cap"), F.lit("null")),
+            F.lit("}}"),
         )
     )
     item = F.concat(
@@ -266,25 +277,34 @@ def listing_documents(spark, sf_dir):
         F.lit("}"),
     )
     minute = F.date_trunc("minute", "recorded_at").cast("timestamp_ntz")
-    # a listing holds what was quoted within one minute
+    quoted = s.groupBy(minute.alias("minute"), "crypto_id").agg(
+        F.min_by(item, "metric_id").alias("item")
+    )
     return (
-        s.groupBy(minute.alias("minute"))
-        .agg(F.array_sort(F.collect_list(F.struct("metric_id", item.alias("item")))).alias("items"))
+        quoted.groupBy("minute", F.floor(F.col("crypto_id") / PAGE).alias("page"))
+        .agg(F.array_sort(F.collect_list(F.struct("crypto_id", "item"))).alias("items"))
         .select(
             "minute",
+            "page",
             F.concat(
-                F.lit('{"minute":"'), F.col("minute").cast("string"), F.lit('",\n "data":[\n'),
-                F.concat_ws(",\n", F.col("items.item")), F.lit("\n]}"),
+                F.lit('{"minute":"'),
+                F.col("minute").cast("string"),
+                F.lit('",\n "page":'),
+                F.col("page").cast("string"),
+                F.lit(',\n "data":[\n'),
+                F.concat_ws(",\n", F.col("items.item")),
+                F.lit("\n]}"),
             ).alias("value"),
         )
     )
 
 
-LISTED = f"""
+QUOTED = f"""
     {SNAPSHOT.strip()},
-    listed AS (
-      SELECT *, date_trunc('minute', recorded_at) AS minute FROM v_snapshot
-      WHERE metric_id % 13 NOT IN (1, 3, 4, 5, 6, 7, 8) AND price_usd > 0)"""
+    quoted AS (
+      SELECT *, date_trunc('minute', recorded_at) AS minute, crypto_id // {PAGE} AS page FROM v_snapshot
+      QUALIFY row_number() OVER (PARTITION BY date_trunc('minute', recorded_at), crypto_id ORDER BY metric_id) = 1),
+    listed AS (SELECT * FROM quoted WHERE metric_id % 13 NOT IN (1, 3, 4, 5, 6, 7, 8) AND price_usd > 0)"""
 
 
 def _raw_listings(spark, sf_dir):
@@ -296,11 +316,11 @@ def _raw_listings(spark, sf_dir):
 @query(
     "stage_listing_cryptos",
     f"""
-    WITH {LISTED}
+    WITH {QUOTED}
     SELECT crypto_id, 'SYM' || crypto_id AS symbol, 'Name ' || metric_id AS name,
            CASE WHEN metric_id % 13 <> 2 THEN 's' || crypto_id END AS slug,
            TIMESTAMP '2024-01-01 00:00:00' AS last_updated FROM listed
-    QUALIFY row_number() OVER (PARTITION BY crypto_id ORDER BY minute DESC, metric_id DESC) = 1
+    QUALIFY row_number() OVER (PARTITION BY crypto_id ORDER BY minute DESC) = 1
     """,
 )
 def stage_listing_cryptos(spark, sf_dir):
@@ -311,15 +331,18 @@ def stage_listing_cryptos(spark, sf_dir):
 @query(
     "stage_listing_metrics",
     f"""
-    WITH {LISTED}
-    SELECT crypto_id, minute AS recorded_at, round(price_usd, 6) AS price_usd, round(volume_24h, 2) AS volume_24h,
-           round(market_cap, 2) AS market_cap FROM listed
-    QUALIFY row_number() OVER (PARTITION BY crypto_id, minute ORDER BY metric_id) = 1
+    WITH {QUOTED}
+    SELECT crypto_id, date_trunc('hour', minute) AS recorded_at, round(price_usd, 6) AS price_usd,
+           round(volume_24h, 2) AS volume_24h, round(market_cap, 2) AS market_cap FROM listed
+    QUALIFY row_number() OVER (PARTITION BY crypto_id, date_trunc('hour', minute) ORDER BY minute) = 1
     """,
 )
 def stage_listing_metrics(spark, sf_dir):
-    listings, _ = staging.clean_listings(_raw_listings(spark, sf_dir), "api_response", "recorded_at")
-    metrics = staging.stage_metrics(None, listings, ["pos"])
+    """Recorded by the hour, so that several listings meet and the first one stays."""
+    raw = _raw_listings(spark, sf_dir).withColumnRenamed("recorded_at", "minute")
+    raw = raw.withColumn("recorded_at", F.date_trunc("hour", "minute").cast("timestamp_ntz"))
+    listings, _ = staging.clean_listings(raw, "api_response", "recorded_at", "minute")
+    metrics = staging.stage_metrics(None, listings, ["minute", "pos"])
     return metrics.select(
         "crypto_id",
         "recorded_at",
@@ -332,42 +355,45 @@ def stage_listing_metrics(spark, sf_dir):
 @query(
     "scan_listing_documents",
     f"""
-    WITH {SNAPSHOT}
-    SELECT extract(minute FROM date_trunc('minute', recorded_at)) % 7 <> 0 AS parsed,
-           CASE WHEN extract(minute FROM date_trunc('minute', recorded_at)) % 7 <> 0
-                THEN date_trunc('minute', recorded_at) END AS minute,
-           CASE WHEN extract(minute FROM date_trunc('minute', recorded_at)) % 7 <> 0 THEN CAST(count(*) AS INTEGER) END AS n_assets
-    FROM v_snapshot GROUP BY date_trunc('minute', recorded_at)
+    WITH {QUOTED},
+    docs AS (
+      SELECT minute, page, count(*) AS n, extract(minute FROM minute) % 7 <> 0 AS parsed FROM quoted GROUP BY minute, page)
+    SELECT parsed, CASE WHEN parsed THEN minute END AS minute, CASE WHEN parsed THEN page END AS page,
+           CASE WHEN parsed THEN CAST(n AS INTEGER) END AS n_assets FROM docs
     """,
 )
 def scan_listing_documents(spark, sf_dir):
     """One file per document; those of every seventh minute are cut short and do not parse."""
     docs = listing_documents(spark, sf_dir)
     broken = F.minute("minute") % 7 == 0
-    path = written(
-        spark,
-        docs.select(F.when(broken, F.regexp_replace("value", r"\}$", "")).otherwise(F.col("value")).alias("value")),
-        "listings",
-        one_per_file=True,
+    text = F.when(broken, F.regexp_replace("value", r"\}$", "")).otherwise(F.col("value"))
+    path = written(spark, docs.select(text.alias("value")), "listings", one_per_file=True)
+    scanned = scan_documents(spark, path, LINES).withColumns(
+        {
+            "minute": F.try_variant_get("doc", "$.minute", "string").cast("timestamp_ntz"),
+            "page": F.try_variant_get("doc", "$.page", "bigint"),
+        }
     )
-    scanned = scan_documents(spark, path, LINES)
-    minute = F.try_variant_get("doc", "$.minute", "string").cast("timestamp_ntz")
-    return parse_listings(scanned.withColumn("minute", minute), "minute").select("parsed", "minute", "n_assets")
+    return parse_listings(scanned, "minute", "page").select("parsed", "minute", "page", "n_assets")
 
 
 @query(
     "listing_size",
     f"""
-    WITH {SNAPSHOT}
-    SELECT date_trunc('minute', recorded_at) AS minute, CAST(count(*) AS INTEGER) AS n_assets
-    FROM v_snapshot GROUP BY 1 ORDER BY 1 DESC LIMIT 1
+    WITH {QUOTED}
+    SELECT minute, CAST(count(*) AS INTEGER) AS n_assets
+    FROM quoted GROUP BY minute, page ORDER BY minute DESC, page DESC LIMIT 1
     """,
 )
 def listing_size(spark, sf_dir):
     """Number of assets in the newest document."""
-    docs = _raw_listings(spark, sf_dir).withColumnsRenamed({"api_response": "doc", "recorded_at": "minute"})
-    sizes = parse_listings(docs.withColumns({"file_path": F.lit(""), "file_name": F.lit("")}), "minute")
-    return sizes.agg(F.max("minute").alias("minute"), F.max_by("n_assets", "minute").alias("n_assets"))
+    docs = listing_documents(spark, sf_dir).select(
+        "minute", "page", F.try_parse_json("value").alias("doc"), F.lit("").alias("file_path"), F.lit("").alias("file_name")
+    )
+    newest = F.struct("minute", "page")
+    return parse_listings(docs, "minute", "page").agg(
+        F.max("minute").alias("minute"), F.max_by("n_assets", newest).alias("n_assets")
+    )
 
 
 @query(

@@ -101,31 +101,38 @@ def dim_seed(spark, sf_dir):
     )
 
 
-@query(
-    "star_join_candles",
-    f"""
-    WITH {CANDLE}
-    SELECT event_id, 'Binance' AS exchange_name, symbol, substr(symbol, 1, 3) AS base_asset, interval,
-           CASE interval WHEN '1m' THEN 60 ELSE 300 END AS interval_seconds,
-           make_timestamp_ms(open_time_ms) AS ts_utc, dayofweek(ts) IN (0, 6) AS is_weekend, close
-    FROM v_candle
-    """,
-)
-def star_join_candles(spark, sf_dir):
-    c = b.candles(spark, sf_dir)
-    asset, interval = st.build_dim_asset(None, c), st.build_dim_interval(None, c)
-    time = st.build_dim_time(None, (c, from_epoch_ms(F.col("open_time_ms"))))
-    exchange = st.seed_exchanges(spark)
+STARRED = f"""
+    {CANDLE.strip()},
+    starred AS (
+      SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'Elsewhere' ELSE 'Binance' END AS exchange_name, symbol,
+             substr(symbol, 1, 3) AS base_asset, interval, CASE interval WHEN '1m' THEN 60 ELSE 300 END AS interval_seconds,
+             make_timestamp_ms(open_time_ms) AS ts_utc, dayofweek(ts) IN (0, 6) AS is_weekend, close
+      FROM v_candle)"""
+
+
+def _starred(spark, sf_dir, exchange=None, symbol=None, interval=None):
+    """Candles of two exchanges joined with their dimensions, each narrowed where a value is given."""
+    c = b.candles(spark, sf_dir).withColumn(
+        "exchange_name", F.when(F.col("event_id") % 3 == 0, "Elsewhere").otherwise("Binance")
+    )
     fact = c.select(
         "event_id",
-        st.surrogate(F.lit("Binance")).alias("exchange_key"),
+        st.surrogate(F.col("exchange_name")).alias("exchange_key"),
         st.surrogate(F.col("symbol")).alias("asset_key"),
         st.surrogate(F.col("interval")).alias("interval_key"),
         st.time_key(from_epoch_ms(F.col("open_time_ms"))).alias("time_key"),
         "close",
     )
+    exchanges = st.build_dim_exchange(st.build_dim_exchange(None, c), st.seed_exchanges(spark))
+    only = lambda dim, col, value: dim if value is None else dim.where(F.col(col) == value)
     joined = star_join(
-        fact, [(time, "time_key"), (asset, "asset_key"), (exchange, "exchange_key"), (interval, "interval_key")]
+        fact,
+        [
+            (only(exchanges, "exchange_name", exchange), "exchange_key"),
+            (only(st.build_dim_asset(None, c), "symbol", symbol), "asset_key"),
+            (only(st.build_dim_interval(None, c), "interval", interval), "interval_key"),
+            (st.build_dim_time(None, (c, from_epoch_ms(F.col("open_time_ms")))), "time_key"),
+        ],
     )
     return joined.select(
         "event_id",
@@ -140,6 +147,22 @@ def star_join_candles(spark, sf_dir):
     )
 
 
+@query("star_join_candles", f"WITH {STARRED} SELECT * FROM starred")
+def star_join_candles(spark, sf_dir):
+    return _starred(spark, sf_dir)
+
+
+@query(
+    "star_join_filtered",
+    f"""
+    WITH {STARRED}
+    SELECT * FROM starred WHERE exchange_name = 'Binance' AND symbol = 'ETHUSDT' AND interval = '1m'
+    """,
+)
+def star_join_filtered(spark, sf_dir):
+    return _starred(spark, sf_dir, exchange="Binance", symbol="ETHUSDT", interval="1m")
+
+
 @query(
     "star_join_wide",
     """
