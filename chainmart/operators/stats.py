@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,11 +12,19 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 
 def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int) -> Column:
-    """Bounds around each wanted quantile: a scalar subquery, per column ``[lo, hi, lo, hi, ...]``."""
+    """Bounds around each wanted quantile: a scalar subquery, per column ``[lo, hi, lo, hi, ...]``.
+
+    The sketch is off by at most n / accuracy ranks and the bounds leave twice that, at
+    least 20 ranks. Where n is too small for this margin the bounds enclose everything.
+    """
     margin = 2.0 / accuracy
     edges = [float(e) for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketches = [F.percentile_approx(F.col(c).cast("double"), edges, accuracy).alias(c) for c in cols]
-    return df.agg(F.struct(*sketches)).scalar()
+    per_column = []
+    for c in cols:
+        everything = F.array(*[F.min(c), F.max(c)] * len(probs))
+        sketch = F.percentile_approx(c, edges, accuracy)
+        per_column.append(F.when(F.count(c) < 10 * accuracy, everything).otherwise(sketch).alias(c))
+    return df.agg(F.struct(*per_column)).scalar()
 
 
 def exact_quantiles(
@@ -34,11 +43,9 @@ def exact_quantiles(
     are shuffled and ordered. (``percentile`` would gather every distinct value of a
     column in one task instead.) A rank outside its bracket would fail, not guess.
     """
+    df = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     # the subquery is attached once as a column; every use below refers to that column
-    df = df.select(
-        *[F.col(c).cast("double").alias(c) for c in cols],
-        _brackets(df, cols, probs, accuracy).alias("_bounds"),
-    )
+    df = df.withColumn("_bounds", _brackets(df, cols, probs, accuracy))
     bounds = F.col("_bounds")
     wanted = [
         (c, float(p), F.col(c), bounds[c][2 * i], bounds[c][2 * i + 1])
@@ -51,12 +58,9 @@ def exact_quantiles(
             F.lit(p).alias("p"),
             F.count(v).alias("n"),
             F.count_if(v < lo).alias("below"),
-            F.count_if(v.between(lo, hi)).alias("inside"),
-            F.max(F.when(v < lo, v)).alias("prev_v"),
-            F.min(F.when(v > hi, v)).alias("next_v"),
             *[agg(v).alias(name) for name, agg in (beside or {}).items()],
         )
-        for c, p, v, lo, hi in wanted
+        for c, p, v, lo, _ in wanted
     ]
     # one row per (column, quantile) whatever the data
     totals = df.agg(F.array(*counts).alias("t")).select(F.inline("t")).where("n > 0")
@@ -64,36 +68,29 @@ def exact_quantiles(
         F.when(v.between(lo, hi), F.struct(F.lit(c).alias("measure"), F.lit(p).alias("p"), v.alias("v")))
         for c, p, v, lo, hi in wanted
     ]
+    # most rows lie in no bracket and are dropped before anything is built for them
+    in_any = reduce(Column.__or__, [v.between(lo, hi) for _, _, v, lo, hi in wanted])
     running = Window.partitionBy("measure", "p").orderBy("v")
     steps = (
-        df.select(F.inline(F.array_compact(F.array(*hits))))
+        df.where(in_any)
+        .select(F.inline(F.array_compact(F.array(*hits))))
         .groupBy("measure", "p", "v")
         .agg(F.count("*").alias("same"))
         .withColumn("upto", F.sum("same").over(running))
     )
     place = (F.col("n") - 1) * F.col("p")
     ranked = totals.withColumns({"low_rank": F.floor(place), "high_rank": F.ceil(place)})
-
-    def found(rank: str) -> Column:
-        return F.min(F.when(F.col("upto") + F.col("below") > F.col(rank), F.col("v"))).alias(f"{rank}_v")
-
-    def at_rank(rank: str) -> Column:
-        r, first = F.col(rank), F.col("below")
-        return (
-            F.when(r == first - 1, F.col("prev_v"))
-            .when(r == first + F.col("inside"), F.col("next_v"))
-            .when(r.between(first, first + F.col("inside") - 1), F.col(f"{rank}_v"))
-            .otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-        )
-
-    low, high = at_rank("low_rank"), at_rank("high_rank")
-    share = (F.col("n") - 1) * F.col("p") - F.col("low_rank")
-    return (
-        ranked.join(steps, ["measure", "p"])
-        .groupBy(*ranked.columns)
-        .agg(found("low_rank"), found("high_rank"))
-        .select("measure", "p", "n", (low + (high - low) * share).alias("value"), *(beside or {}))
+    upto = F.col("below") + F.col("upto")
+    at_rank = lambda rank: F.min(F.when(upto > F.col(rank), F.col("v")))
+    found = ranked.join(steps, ["measure", "p"]).groupBy(*ranked.columns).agg(
+        at_rank("low_rank").alias("low"), at_rank("high_rank").alias("high"), F.max(upto).alias("upto")
+    )
+    inside = (F.col("below") <= F.col("low_rank")) & (F.col("high_rank") < F.col("upto"))
+    share = place - F.col("low_rank")
+    value = F.when(inside, F.col("low") + (F.col("high") - F.col("low")) * share).otherwise(
+        F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
     )
+    return found.select("measure", "p", "n", value.alias("value"), *(beside or {}))
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -10,12 +10,13 @@ from .parsers import (
     parse_listings,
 )
 from .scans import scan_documents, scan_jsonl, scan_partition
-from .sinks import append_documents, write_csv, write_jsonl, write_merged
+from .sinks import append_documents, append_rows, write_csv, write_jsonl, write_merged
 
 __all__ = [
     "BLOCK_FIELDS",
     "CANDLE_FIELDS",
     "append_documents",
+    "append_rows",
     "explode_listings",
     "parse_blocks",
     "parse_candles",

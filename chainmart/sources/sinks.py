@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 
 def write_jsonl(df: DataFrame, path: str, partition_by: Sequence[str] = ("ds", "symbol", "interval")) -> None:
-    """Append dated JSON lines below ``path``, one folder per partition value."""
-    df.write.partitionBy(*partition_by).mode("append").json(path)
+    """Append dated JSON lines below ``path``, one folder per partition value.
+
+    Rebalanced by folder: small folders get one file, a folder holding most rows several.
+    """
+    df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("append").json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -23,6 +26,11 @@ def append_documents(docs: DataFrame, path: str, status: int = 200, received_at:
     raw_documents(docs, status, received_at).write.mode("append").parquet(path)
 
 
+def append_rows(df: DataFrame, path: str) -> None:
+    """Append rows to a history table; an empty result leaves no trace in it."""
+    df.write.mode("append").parquet(path)
+
+
 def raw_documents(docs: DataFrame, status: int = 200, received_at: Column | None = None) -> DataFrame:
     """Rows of the raw table: the document, its status and where it came from."""
     return docs.where(F.col("doc").isNotNull()).select(
@@ -37,7 +45,8 @@ def raw_documents(docs: DataFrame, status: int = 200, received_at: Column | None
 def write_merged(merged: DataFrame, path: str, partition_by: str) -> None:
     """Replace exactly the partitions that occur in ``merged``; all others stay untouched."""
     (
-        merged.write.mode("overwrite")
+        merged.hint("rebalance", partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)
         .parquet(path)

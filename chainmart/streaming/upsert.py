@@ -39,22 +39,26 @@ def upsert_into(
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if "row_id" in order:
-            batch = batch.withColumn("row_id", F.monotonically_increasing_id())
         aside = f"{path.rstrip('/')}_staged/batch={batch_id}"
-        staged = read_or_none(spark, f"{aside}/complete")
+        staged = read_or_none(spark, aside)
         if staged is None:
+            if "row_id" in order:
+                batch = batch.withColumn("row_id", F.monotonically_increasing_id())
+            # used twice below, and the batch may come out of a stateful plan
+            batch = batch.persist()
             target = read_or_none(spark, path)
             if target is not None:
-                touched = batch.select(partition_by).distinct()
-                target = target.join(touched, partition_by, "left_semi")
+                # values of the partition column only, so the scan prunes by them
+                touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
+                target = target.where(F.col(partition_by).isin(touched))
                 target = target.select([c for c in batch.columns if c in target.columns])
-            updates = batch if target is None else batch.select(*dict.fromkeys([*target.columns, *order]))
-            ordered = updates.withColumns({f"_by_{c}": F.col(c) for c in order})
+            kept = batch.columns if target is None else dict.fromkeys([*target.columns, *order])
+            ordered = batch.select(*kept).withColumns({f"_by_{c}": F.col(c) for c in order})
             merged = merge_upsert(target, ordered, keys, [f"_by_{c}" for c in order], policies)
             # a job either commits this folder as a whole or leaves no file in it
-            merged.write.mode("overwrite").parquet(f"{aside}/complete")
-            staged = spark.read.parquet(f"{aside}/complete")
+            merged.write.mode("overwrite").parquet(aside)
+            batch.unpersist()
+            staged = spark.read.parquet(aside)
         if not staged.isEmpty():
             write_merged(staged, path, partition_by)
 

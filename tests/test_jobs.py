@@ -307,6 +307,14 @@ def test_csv_export(spark, tmp_path):
     assert rows(back) == rows(df)
 
 
+def test_run_history_is_appended(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    for n in (1, 2):
+        src.append_rows(spark.createDataFrame([(n,)], "n int"), path)
+    src.append_rows(spark.createDataFrame([], "n int"), path)
+    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+
+
 def test_write_merged_replaces_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     src.write_merged(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, day string"), path, "day")
