@@ -1,6 +1,14 @@
 """Structured Streaming forms of the incremental jobs."""
 
 from .jobs import dedupe_stream, land_stream, run_once, tumbling_averages
-from .upsert import upsert_into
+from .upsert import merge_into, read_or_none, upsert_into
 
-__all__ = ["dedupe_stream", "land_stream", "run_once", "tumbling_averages", "upsert_into"]
+__all__ = [
+    "dedupe_stream",
+    "land_stream",
+    "merge_into",
+    "read_or_none",
+    "run_once",
+    "tumbling_averages",
+    "upsert_into",
+]

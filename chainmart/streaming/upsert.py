@@ -1,4 +1,4 @@
-"""Micro-batch upsert into a partitioned Parquet table."""
+"""Merging a batch into a partitioned Parquet table, from a stream or from a job."""
 
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..operators.merge import merge_upsert
 from ..sources.sinks import write_merged
 
+Merge = Callable[[DataFrame | None, DataFrame], DataFrame]
+
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table, or None while it does not exist."""
@@ -22,28 +24,19 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def upsert_into(
-    path: str,
-    keys: Sequence[str],
-    order: Sequence[str],
-    partition_by: str,
-    policies: Mapping[str, str] | None = None,
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function merging each batch into the table at ``path``.
+def merge_into(path: str, partition_by: str, merge: Merge) -> Callable[[DataFrame, int | str], None]:
+    """A ``foreachBatch`` function replacing the partitions a batch touches by ``merge(target, batch)``.
 
-    The partition must follow from the key. Only partitions the batch touches are
-    read and rewritten. The merged rows are first written aside under the batch number:
-    a batch repeated after a failure finds them complete and just publishes them
-    again, so an interrupted replacement never loses a partition. One writer per table.
+    The partition must follow from the key and not be NULL. Only touched partitions are read
+    and rewritten. The merged rows are first written aside under the batch's name: a batch
+    repeated after a failure finds them complete and just publishes them again, so an
+    interrupted replacement never loses a partition. One writer per table.
     """
 
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+    def merge_batch(batch: DataFrame, batch_id: int | str) -> None:
         spark = batch.sparkSession
         aside = f"{path.rstrip('/')}_staged/batch={batch_id}"
-        staged = read_or_none(spark, aside)
-        if staged is None:
-            if "row_id" in order:
-                batch = batch.withColumn("row_id", F.monotonically_increasing_id())
+        if read_or_none(spark, f"{aside}/complete") is None:
             # used twice below, and the batch may come out of a stateful plan
             batch = batch.persist()
             target = read_or_none(spark, path)
@@ -51,15 +44,32 @@ def upsert_into(
                 # values of the partition column only, so the scan prunes by them
                 touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
                 target = target.where(F.col(partition_by).isin(touched))
-                target = target.select([c for c in batch.columns if c in target.columns])
-            kept = batch.columns if target is None else dict.fromkeys([*target.columns, *order])
-            ordered = batch.select(*kept).withColumns({f"_by_{c}": F.col(c) for c in order})
-            merged = merge_upsert(target, ordered, keys, [f"_by_{c}" for c in order], policies)
-            # a job either commits this folder as a whole or leaves no file in it
-            merged.write.mode("overwrite").parquet(aside)
+            merge(target, batch).write.mode("overwrite").parquet(f"{aside}/rows")
             batch.unpersist()
-            staged = spark.read.parquet(aside)
+            spark.range(1).write.mode("overwrite").parquet(f"{aside}/complete")
+        staged = spark.read.parquet(f"{aside}/rows")
         if not staged.isEmpty():
             write_merged(staged, path, partition_by)
 
     return merge_batch
+
+
+def upsert_into(
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    partition_by: str,
+    policies: Mapping[str, str] | None = None,
+) -> Callable[[DataFrame, int | str], None]:
+    """``merge_into`` with ``merge_upsert``; columns of ``order`` are kept in the table."""
+
+    def merge(target: DataFrame | None, batch: DataFrame) -> DataFrame:
+        if "row_id" in order:
+            batch = batch.withColumn("row_id", F.monotonically_increasing_id())
+        if target is not None:
+            target = target.select([c for c in batch.columns if c in target.columns])
+        kept = batch.columns if target is None else dict.fromkeys([*target.columns, *order])
+        ordered = batch.select(*kept).withColumns({f"_by_{c}": F.col(c) for c in order})
+        return merge_upsert(target, ordered, keys, [f"_by_{c}" for c in order], policies)
+
+    return merge_into(path, partition_by, merge)
