@@ -39,6 +39,9 @@ def merge_into(path: str, partition_by: str, merge: Merge) -> Callable[[DataFram
         if read_or_none(spark, f"{aside}/complete") is None:
             # used twice below, and the batch may come out of a stateful plan
             batch = batch.persist()
+            if batch.isEmpty():
+                batch.unpersist()
+                return
             target = read_or_none(spark, path)
             if target is not None:
                 # values of the partition column only, so the scan prunes by them
@@ -47,9 +50,7 @@ def merge_into(path: str, partition_by: str, merge: Merge) -> Callable[[DataFram
             merge(target, batch).write.mode("overwrite").parquet(f"{aside}/rows")
             batch.unpersist()
             spark.range(1).write.mode("overwrite").parquet(f"{aside}/complete")
-        staged = spark.read.parquet(f"{aside}/rows")
-        if not staged.isEmpty():
-            write_merged(staged, path, partition_by)
+        write_merged(spark.read.parquet(f"{aside}/rows"), path, partition_by)
 
     return merge_batch
 

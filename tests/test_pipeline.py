@@ -107,8 +107,11 @@ def test_two_runs(spark, tmp_path):
     assert buckets[0]["avg_close_usdt"] == pytest.approx((500.0 + 105.0) / 2)
     assert wh.need("corr_runs").count() == 2
 
-    # a third run without new files changes nothing but the run history
-    run(wh, raw, "2026-01-01 01:15:00")
+    # loading again without new files changes nothing
+    third = "2026-01-01 01:15:00"
+    pl.land(wh, str(raw), third[:10], third)
+    pl.stage(wh, third)
+    pl.build_star(wh, third)
     assert counts(wh) == second
     live = integrated_buckets(pl.load_star(wh), Selection(), "2026-01-01 00:00:00", "2026-01-02 00:00:00")
     last = live.orderBy("bucket_ts").collect()[-1]
