@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,19 +27,12 @@ def get_spark(app: str = "chainmart", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
-@functools.lru_cache(maxsize=None)
-def _local_base(app_id: str) -> str:
-    return tempfile.mkdtemp(prefix="chainmart-")
-
-
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session may fall back to a temporary folder of its own.
+    Where that is unset, the session's warehouse takes its place: it is shared as well. Never a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = _local_base(spark.sparkContext.applicationId)
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -9,8 +9,13 @@ from chainmart import get_spark  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = get_spark("tests", "local[8]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"})
+def spark(tmp_path_factory):
+    conf = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.driver.memory": "6g",
+        "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
+    }
+    session = get_spark("tests", "local[8]", **conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -7,7 +7,8 @@ import re
 import pytest
 from oracle import DATA, compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from chainmart.registry import ORACLES, QUERIES
 
 SF = f"{DATA}/sf0.001"
 
@@ -24,16 +25,16 @@ def explain(df, mode="formatted"):
     return out.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     seen = []
 
     def run(session, sf_dir):
-        df = queries()[name](session, sf_dir)
+        df = QUERIES[name](session, sf_dir)
         seen.append(df)
         return df
 
-    ok, note = compare(spark, con, name, run, oracle_sql()[name], SF)
+    ok, note = compare(spark, con, name, run, ORACLES[name], SF)
     assert ok, note
     plan = explain(seen[0])
     for node in ("EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -41,7 +42,7 @@ def test_query(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):
@@ -57,13 +58,13 @@ def scans(plan, table):
 
 
 def test_top_assets_limits_before_it_ranks(spark):
-    plan = explain(queries()["top_assets"](spark, SF), "simple")
+    plan = explain(QUERIES["top_assets"](spark, SF), "simple")
     assert "TakeOrderedAndProject" in plan
     assert plan.index("Window") < plan.index("TakeOrderedAndProject")
 
 
 def test_flagship_reads_narrowly_and_filters_in_the_scan(spark):
-    plan = explain(queries()["integrated_buckets"](spark, SF))
+    plan = explain(QUERIES["integrated_buckets"](spark, SF))
     found = scans(plan, "events")
     assert all("EqualTo(event_type" in scan for scan in found)
     # blocks need three of the six columns
@@ -71,19 +72,19 @@ def test_flagship_reads_narrowly_and_filters_in_the_scan(spark):
 
 
 def test_asof_reads_its_inputs_once(spark):
-    df = queries()["integrated_buckets"](spark, SF)
+    df = QUERIES["integrated_buckets"](spark, SF)
     df.collect()
     final = explain(df).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
 
 
 def test_dedupe_prunes_before_the_shuffle(spark):
-    plan = explain(queries()["dedupe_last_wins"](spark, SF), "simple")
+    plan = explain(QUERIES["dedupe_last_wins"](spark, SF), "simple")
     assert plan.count("WindowGroupLimit") == 2
 
 
 def test_incremental_scan_reaches_the_parquet_scan(spark):
-    plan = explain(queries()["incremental_scan_by_mark"](spark, SF))
+    plan = explain(QUERIES["incremental_scan_by_mark"](spark, SF))
     assert "GreaterThan(l_shipdate" in plan
 
 
