@@ -34,3 +34,29 @@ def utf8(column: pa.Array) -> list[bytes]:
 def strings(values: list[bytes]) -> pa.Array:
     """UTF-8 bytes as an Arrow string column."""
     return pa.array(values, pa.binary()).cast(pa.string())
+
+
+def tokenizer_json(path: str, most: int = 64 << 20) -> str:
+    """A tokenizer file's content, read on the driver; its size bounds what is sent to the tasks."""
+    with open(path, encoding="utf-8") as f:
+        content = f.read(most + 1)
+    if len(content) > most:
+        raise ValueError(f"{path} has more than {most} characters")
+    return content
+
+
+def load_tokenizer(content: str):
+    """The tokenizer of a file's content, kept by the Python worker for its next tasks."""
+    import sys
+    import types
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    name = f"tokenizer-{zlib.crc32(content.encode())}-{len(content)}"
+    if name not in kept:
+        kept[name] = Tokenizer.from_str(content)
+        kept[name].no_truncation()
+        kept[name].no_padding()
+    return kept[name]
