@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from . import sharding, url_filter
+from . import bpe, decontaminate, quality, sharding, simhash, toxicity, url_filter
 
 QUERIES = {
+    "op1_bpe": bpe.op1_bpe,
+    "op2_quality_rules": quality.op2_quality_rules,
+    "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
+    "op5_decontamination": decontaminate.op5_decontamination,
     "op6_sharding": sharding.op6_sharding,
     "op9_url_filter": url_filter.op9_url_filter,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {
     "op6_sharding": sharding.ORACLE,
