@@ -2,18 +2,33 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, quality, sharding, simhash, toxicity, url_filter
+from . import (
+    bpe,
+    decontaminate,
+    preference,
+    quality,
+    sharding,
+    simhash,
+    token_counts,
+    token_files,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
     "op2_quality_rules": quality.op2_quality_rules,
     "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
+    "op4_token_files": token_files.op4_token_files,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_sharding": sharding.op6_sharding,
+    "op7_preference_pairs": preference.op7_preference_pairs,
+    "op8_token_counts": token_counts.op8_token_counts,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLES = {
     "op6_sharding": sharding.ORACLE,
+    "op7_preference_pairs": preference.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
 }
