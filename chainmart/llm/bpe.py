@@ -17,12 +17,12 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import load_tokenizer, read_table, stored, strings, tokenizer_json, utf8
+from .common import load_tokenizer, read_table, small_batches, stored, strings, tokenizer_json, utf8
 
 WORD_BPE = "word_bpe_49k.json"
 #: text and distinct words of a block of documents; a longer text is a block of its own
-BLOCK_BYTES = 32 << 20
-BLOCK_WORDS = 1_000_000
+BLOCK_BYTES = 16 << 20
+BLOCK_WORDS = 400_000
 OUT_BYTES = 8 << 20
 #: rows of an id-to-piece table that may be broadcast
 MAX_PIECES = 2_000_000
@@ -111,7 +111,7 @@ def split_blocks(docs: DataFrame, key: str, text: str, content) -> DataFrame:
             T.StructField("index", T.BinaryType()),
         ]
     )
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col(key), F.col(text)).mapInArrow(run, schema)
 
 
 def piece_table(spark: SparkSession, path: str) -> DataFrame:

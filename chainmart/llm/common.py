@@ -16,6 +16,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; from now on its session sends texts to Python in batches that are bounded in bytes, however long they are."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return df
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to a fresh folder that all executors share, and read back.
 

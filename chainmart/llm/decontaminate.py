@@ -14,12 +14,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import read_table, stored, utf8
+from .common import read_table, small_batches, stored, utf8
 
 #: words of a window of an item
 WINDOW = 10
 #: bytes of text of a shard; a longer text is a shard of its own
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 #: every so many positions a suffix keeps its place
 SAMPLE = 16
 #: bytes of benchmark text sent to the tasks at once; a larger benchmark is searched in several passes
@@ -206,32 +206,39 @@ def _pass(docs: DataFrame, key: str, text: str, items: list, item_type: T.DataTy
     )
     item_arrow = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32()}.get(item_type, pa.string())
 
-    def shards(batch):
-        texts, begun, size = utf8(batch.column(1)), 0, 0
-        for i, t in enumerate(texts, 1):
-            size += len(t)
-            if size >= SHARD_BYTES or i == len(texts):
-                yield batch.column(0).slice(begun, i - begun), texts[begun:i]
-                begun, size = i, 0
+    def shards(batches):
+        keys, texts, size = [], [], 0
+        for batch in batches:
+            begun = 0
+            for i, t in enumerate(utf8(batch.column(1)), 1):
+                texts.append(t)
+                size += len(t)
+                if size >= SHARD_BYTES or i == batch.num_rows:
+                    keys.append(batch.column(0).slice(begun, i - begun))
+                    begun = i
+                if size >= SHARD_BYTES:
+                    yield pa.concat_arrays(keys), texts
+                    keys, texts, size = [], [], 0
+        if texts:
+            yield pa.concat_arrays(keys), texts
 
     def run(batches):
         phrases = Phrases.of(sent.value, window)
-        for batch in batches:
-            for keys, texts in shards(batch):
-                rows = search_shard(texts, phrases)
-                spans = [[{"start": a, "end": b} for a, b in s] for _, s, _ in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        keys,
-                        pa.array([n for n, _, _ in rows], pa.int64()),
-                        pa.array([sum(b - a for a, b in s) for _, s, _ in rows], pa.int64()),
-                        pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                        pa.array([x for _, _, x in rows], pa.list_(item_arrow)),
-                    ],
-                    [key, "n_words", "n_hit", "spans", "items"],
-                )
-
-    return docs.select(key, text).mapInArrow(run, schema)
+        for keys, texts in shards(batches):
+            rows = search_shard(texts, phrases)
+            spans = [[{"start": a, "end": b} for a, b in s] for _, s, _ in rows]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    keys,
+                    pa.array([n for n, _, _ in rows], pa.int64()),
+                    pa.array([sum(b - a for a, b in s) for _, s, _ in rows], pa.int64()),
+                    pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                    pa.array([x for _, _, x in rows], pa.list_(item_arrow)),
+                ],
+                [key, "n_words", "n_hit", "spans", "items"],
+            )
+
+    return small_batches(docs).select(key, text).mapInArrow(run, schema)
 
 
 def contamination(

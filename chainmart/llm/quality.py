@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from .common import read_table, stored, utf8
+from .common import read_table, small_batches, stored, utf8
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\v\f\r"
@@ -79,7 +79,7 @@ def with_counts(docs: DataFrame, text: str = "text", into: str = "_q") -> DataFr
         rows = [counts_of(t) for t in utf8(pa.array(texts, pa.string(), from_pandas=True))]
         return pd.DataFrame(rows, columns=list(COUNTS), dtype="int64")
 
-    return docs.withColumn(into, count(F.col(text).cast("string")))
+    return small_batches(docs).withColumn(into, count(F.col(text).cast("string")))
 
 
 def signal(name: str, q: str = "_q") -> Column:

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import LOWER, read_table, stored, utf8
+from .common import LOWER, read_table, small_batches, stored, utf8
 
 BITS = 64
 SEED = 42
@@ -46,7 +46,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], ["key", "fp"])
 
     schema = docs.select(F.col(key).alias("key"), F.lit(0).cast("long").alias("fp")).schema
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col(key), F.col(text)).mapInArrow(run, schema)
 
 
 def block_keys(n_blocks: int, matched: int):

@@ -16,13 +16,13 @@ import public_tokenizers
 from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import read_table, utf8
+from .common import read_table, small_batches, utf8
 
 PIECES = "piece_bpe_32k.model"
 UNKNOWN = "<unk>"
 MARK = "▁"
 #: counts of distinct words kept by a task
-CACHE = 1_000_000
+CACHE = 200_000
 UNKNOWN_PENALTY = 10.0
 MAX_PIECES = 2_000_000
 
@@ -107,7 +107,7 @@ def token_counts(
             found = utf8(pa.array(texts, pa.string(), from_pandas=True))
             yield pd.Series(np.array([counter.text(t.decode()) for t in found], np.int64))
 
-    return docs.withColumn(into, count(F.col(text).cast("string")))
+    return small_batches(docs).withColumn(into, count(F.col(text).cast("string")))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from .common import load_tokenizer, read_table, stored, tokenizer_json, utf8
+from .common import load_tokenizer, read_table, small_batches, stored, tokenizer_json, utf8
 
 BYTE_BPE = "byte_bpe_50k.json"
 MAGIC = b"RANSIDS1"
@@ -149,7 +149,7 @@ def tokenised(docs: DataFrame, path: str, key: str, text: str, end_id: int | Non
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(ids)), pa.array(ids, pa.binary())], ["key", "ids"])
 
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("ids", T.BinaryType())])
-    return docs.select(key, text).mapInArrow(run, schema)
+    return small_batches(docs).select(key, text).mapInArrow(run, schema)
 
 
 def _table_of(tokens: DataFrame, kind: str, size: int, bits: int) -> np.ndarray:
