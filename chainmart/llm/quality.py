@@ -124,7 +124,8 @@ def cutoffs(
     rejected = [
         F.sum(F.when(F.col(s) > c, 1).otherwise(0)).alias(f"{s}_{i}") for s in SIGNALS for i, c in enumerate(GRID)
     ]
-    totals = holdout.join(good, key).groupBy("_stratum").agg(F.count("*").alias("n"), *rejected)
+    totals = stored(holdout.join(good, key).groupBy("_stratum").agg(F.count("*").alias("n"), *rejected), "holdout")
+    tests = max(1, totals.count() * len(SIGNALS))  # one row for each stratum
     cells = totals.select(
         "_stratum",
         "n",
@@ -143,9 +144,7 @@ def cutoffs(
     def tail(k: pd.Series, n: pd.Series) -> pd.Series:
         return pd.Series([binomial_tail(int(a), int(b), risk / len(SIGNALS)) for a, b in zip(k, n)])
 
-    families = totals.agg((F.count("*") * len(SIGNALS)).alias("m"))
-    tested = cells.withColumn("p", tail("k", "n")).crossJoin(F.broadcast(families))  # one row: the number of tests
-    passed = tested.where(F.col("p") <= F.lit(error) / F.col("m"))
+    passed = cells.where(tail("k", "n") <= error / tests)
     # counts only grow along the list, so all cutoffs looser than a proven one are proven
     return passed.groupBy("_stratum", "signal").agg(F.min("cutoff").alias("cutoff"))
 
