@@ -1,7 +1,9 @@
 """The whole path as four jobs over one warehouse folder: land, stage, build the star, analyse.
 
 Each job reads what is new, merges it into Parquet tables cut into slices (days, or ranges
-of block numbers) that follow from the key, and can be run again: files are remembered by the stream checkpoint, rows by high-water marks.
+of block numbers) that follow from the key, and can be run again: files are remembered by the stream checkpoint, rows by
+the number of the run that wrote them. Run numbers only grow, whatever clock the caller passes as ``now``, and a reader's mark
+moves over every row it has read, valid or not, so no row is passed over and no reject is reported twice.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from ..operators.marks import high_water_mark
 from ..operators.merge import insert_if_absent, merge_documents, merge_upsert
 from ..sources.parsers import parse_blocks, parse_candles
 from ..sources.scans import FILE_ORDER, scan_documents, scan_jsonl
-from ..sources.sinks import append_rows, raw_documents
+from ..sources.sinks import append_rows, raw_documents, write_merged
 from ..streaming.jobs import land_stream, run_once
 from ..streaming.upsert import merge_into, read_or_none
 from . import analytics as an
@@ -62,7 +64,14 @@ class Warehouse:
             raise LookupError(f"table {name} does not exist yet")
         return df
 
-    def merge(self, name: str, rows: DataFrame, partition: str, fn: Callable, run: str) -> None:
+    def begin(self, job: str) -> int:
+        """Number of a new run, above all earlier ones. One job at a time writes to a warehouse."""
+        runs = self.read("runs")
+        run = 1 + ((None if runs is None else runs.agg(F.max("run")).first()[0]) or 0)
+        append_rows(self.spark.range(1).select(F.lit(run).alias("run"), F.lit(job).alias("job")), self.path("runs"))
+        return run
+
+    def merge(self, name: str, rows: DataFrame, partition: str, fn: Callable, run: int) -> None:
         merge_into(self.path(name), partition, fn)(rows, run)
 
     def upsert(self, name: str, rows: DataFrame, partition: str, keys: Sequence[str], order, run, policies=None):
@@ -73,47 +82,58 @@ class Warehouse:
 
         self.merge(name, rows, partition, fn, run)
 
-    def mark(self, source: str) -> dt.datetime | None:
+    def mark(self, source: str) -> int:
+        """Number of the last run whose rows ``source`` has read; 0 before its first run."""
         marks = self.read("marks")
-        return None if marks is None else marks.where(F.col("source") == source).agg(F.max("mark")).first()[0]
-
-    def fresh(self, name: str, source: str, stamp: str) -> DataFrame:
-        """Rows of a table above the mark of ``source``."""
-        df, mark = self.need(name), self.mark(source)
-        return df if mark is None else df.where(F.col(stamp) > at(mark))
-
-    def advance(self, source: str, rows: DataFrame, stamp: str, valid: Column | None = None) -> None:
-        """Record how far ``rows`` reach; nothing is recorded when none of them counts."""
-        new = high_water_mark(rows, stamp, valid).where("n_rows > 0")
+        found = None if marks is None else marks.where(F.col("source") == source).agg(F.max("mark")).first()[0]
+        return found or 0
+
+    def fresh(self, name: str, source: str, written_by: str) -> DataFrame:
+        """Rows of a table written by runs above the mark of ``source``."""
+        return self.need(name).where(F.col(written_by) > self.mark(source))
+
+    def reject(self, name: str, source: str, rows: DataFrame) -> None:
+        """Rejects beside table ``name``, under the mark they were read above: a run that is repeated before its mark
+        has moved reads the same rows again, and replaces them."""
+        keyed = rows.withColumn("above", F.lit(self.mark(source)))
+        write_merged(keyed, self.path(f"{name}_rejects"), "above")
+
+    def advance(self, source: str, rows: DataFrame, written_by: str) -> None:
+        """Record how far ``rows`` reach, the last step of a run; nothing is recorded where there are none."""
+        new = high_water_mark(rows, written_by).where("n_rows > 0")
         append_rows(new.select(F.lit(source).alias("source"), "mark"), self.path("marks"))
 
 
 def land(wh: Warehouse, raw: str, ds: str, now: str) -> None:
     """New files below ``raw/{candles,blocks,listings}`` into the landing tables."""
-    stamp = at(now)
+    stamp, run = at(now), wh.begin("land")
 
     def land_lines(parsed: DataFrame, name: str, cut: Column, merge: Callable) -> None:
         into = merge_into(wh.path(name), "slice", merge)
 
         def each(batch: DataFrame, batch_id: int) -> None:
-            batch = batch.withColumn("row_id", F.monotonically_increasing_id()).persist()
+            batch = batch.withColumns({"row_id": F.monotonically_increasing_id(), "landed_run": F.lit(run)}).persist()
             ok = F.col("reject_reason").isNull()
             into(batch.where(ok).drop("reject_reason").withColumn("slice", cut), batch_id)
-            rejects = batch.where(~ok).select("source_file", "reject_reason", "updated_at")
-            append_rows(rejects, wh.path(f"{name}_rejects"))
+            # a batch that is repeated replaces its rejects; a new checkpoint reads under another query id
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            rejects = batch.where(~ok).select(
+                "source_file", "reject_reason", "updated_at", F.lit(f"{query}-{batch_id}").alias("batch")
+            )
+            write_merged(rejects, wh.path(f"{name}_rejects"), "batch")
             batch.unpersist()
 
         run_once(parsed.writeStream.foreachBatch(each), wh.path(f"checkpoints/{name}"))
 
     def merge_candles(target: DataFrame | None, batch: DataFrame) -> DataFrame:
-        carried = batch.withColumn("fields_present", F.array_append("fields_present", F.lit("updated_at")))
+        carried = batch.withColumn("fields_present", F.concat("fields_present", F.array(F.lit("updated_at"), F.lit("landed_run"))))
         fields = [f for f in (*landing.CANDLE_FIELDS, "source_ingested_at") if f not in landing.CANDLE_KEYS]
         return merge_documents(
             target,
             carried,
             [*landing.CANDLE_KEYS, "slice"],
             FILE_ORDER,
-            [*fields, "updated_at"],
+            [*fields, "updated_at", "landed_run"],
             landing.LANDING_STAMPS,
         )
 
@@ -130,37 +150,40 @@ def land(wh: Warehouse, raw: str, ds: str, now: str) -> None:
         parse_blocks(blocks, ds, stamp), "landing_blocks", range_of("number"), merge_blocks
     )
     listings = scan_documents(wh.spark, f"{raw}/listings", stream=True)
-    land_stream(raw_documents(listings, received_at=stamp), wh.path("landing_listings"), wh.path("checkpoints/listings"))
+    documents = raw_documents(listings, received_at=stamp).withColumn("landed_run", F.lit(run))
+    land_stream(documents, wh.path("landing_listings"), wh.path("checkpoints/listings"))
 
 
 def stage(wh: Warehouse, now: str) -> None:
     """Landing rows above the marks into the staging tables; rejects are kept beside them."""
-    stamp, run = at(now), now.replace(" ", "T").replace(":", "")
+    stamp, run = at(now), wh.begin("stage")
 
-    docs = wh.fresh("landing_candles", "stage_candles", "updated_at").persist()
+    docs = wh.fresh("landing_candles", "stage_candles", "landed_run").persist()
     typed, rejects = staging.clean_candles(docs)
     rows = typed.select(
         *staging.CANDLE_COLUMNS,
         stamp.alias("staged_at"),
+        F.lit(run).alias("staged_run"),
+        "landed_run",
         "updated_at",
         "raw_key",
         day_of(from_epoch_ms(F.col("open_time_ms"))),
     )
     keys = ["symbol", "interval", "open_time_ms"]
-    wh.upsert("candles", rows, "slice", keys, ["updated_at", "raw_key"], run, {"trading_day": "keep_if_null"})
-    append_rows(rejects.select(*keys, "reject_reason", "updated_at"), wh.path("candles_rejects"))
-    wh.advance("stage_candles", typed, "updated_at")
+    wh.upsert("candles", rows, "slice", keys, ["landed_run", "updated_at", "raw_key"], run, {"trading_day": "keep_if_null"})
+    wh.reject("candles", "stage_candles", rejects.select(*keys, "reject_reason", "updated_at"))
+    wh.advance("stage_candles", docs, "landed_run")
     docs.unpersist()
 
-    docs = wh.fresh("landing_blocks", "stage_blocks", "updated_at").persist()
+    docs = wh.fresh("landing_blocks", "stage_blocks", "landed_run").persist()
     typed, rejects = staging.clean_blocks(docs)
-    rows = typed.withColumns({"staged_at": stamp, "slice": range_of("block_number")})
+    rows = typed.withColumns({"staged_at": stamp, "staged_run": F.lit(run), "slice": range_of("block_number")})
     wh.upsert("blocks", rows, "slice", ["block_hash"], ["updated_at"], run, {"ingestion_ds": "keep_if_null"})
-    append_rows(rejects.select("hash", "reject_reason", "updated_at"), wh.path("blocks_rejects"))
-    wh.advance("stage_blocks", typed, "updated_at")
+    wh.reject("blocks", "stage_blocks", rejects.select("hash", "reject_reason", "updated_at"))
+    wh.advance("stage_blocks", docs, "landed_run")
     docs.unpersist()
 
-    raw = wh.fresh("landing_listings", "stage_listings", "ingestion_timestamp")
+    raw = wh.fresh("landing_listings", "stage_listings", "landed_run")
     listed, rejects = staging.clean_listings(raw, "api_response", "ingestion_timestamp", "source_file")
     order = ["recorded_at", "source_file", "pos"]
     listed = listed.withColumnRenamed("ingestion_timestamp", "recorded_at")
@@ -168,7 +191,7 @@ def stage(wh: Warehouse, now: str) -> None:
     wh.upsert("cryptos", master.withColumn("processed_at", stamp), "part", ["crypto_id"], order, run)
     metric_keys = ["crypto_id", "recorded_at"]
     metrics = listed.drop("symbol", "name", "slug", "last_updated").withColumns(
-        {"metric_id": F.xxhash64(*metric_keys), "staged_at": stamp, "slice": day_of(F.col("recorded_at"))}
+        {"metric_id": F.xxhash64(*metric_keys), "staged_at": stamp, "staged_run": F.lit(run), "slice": day_of(F.col("recorded_at"))}
     )
 
     def first_stays(target: DataFrame | None, batch: DataFrame) -> DataFrame:
@@ -177,13 +200,13 @@ def stage(wh: Warehouse, now: str) -> None:
         return insert_if_absent(target, batch, metric_keys, order)
 
     wh.merge("metrics", metrics, "slice", first_stays, run)
-    append_rows(rejects.select("source_file", "pos", "reject_reason"), wh.path("listings_rejects"))
-    wh.advance("stage_listings", raw, "ingestion_timestamp")
+    wh.reject("listings", "stage_listings", rejects.select("source_file", "pos", "reject_reason"))
+    wh.advance("stage_listings", raw, "landed_run")
 
 
 def build_star(wh: Warehouse, now: str) -> None:
     """Staging rows above the marks into dimensions and facts."""
-    spark, run = wh.spark, now.replace(" ", "T").replace(":", "")
+    spark, run = wh.spark, wh.begin("build_star")
 
     def dim(name: str, rows: DataFrame, natural: str, policies=None) -> None:
         rows = rows.withColumns({"part": part_of(natural), "_o": F.lit(0)})
@@ -196,19 +219,19 @@ def build_star(wh: Warehouse, now: str) -> None:
     dim("dim_exchange", st.seed_exchanges(spark), "exchange_name")
     dim("dim_chain", st.seed_chains(spark), "chain_name")
 
-    candles = wh.fresh("candles", "star_candles", "staged_at").persist()
+    candles = wh.fresh("candles", "star_candles", "staged_run").persist()
     assets, intervals = st.build_dim_asset(None, candles), st.build_dim_interval(None, candles)
     dim("dim_asset", assets, "symbol", {"base_asset": "keep_if_null", "quote_asset": "keep_if_null"})
     dim("dim_interval", intervals, "interval", {"interval_seconds": "keep_if_null"})
-    loaded = st.load_fact_candle(None, candles, wh.need("dim_asset"), wh.need("dim_interval"), ["staged_at"])
+    loaded = st.load_fact_candle(None, candles, wh.need("dim_asset"), wh.need("dim_interval"), ["staged_run"])
     fact("fact_candle", loaded, day_of(F.timestamp_micros("open_time_key")), st.CANDLE_FACT_KEYS, {"trading_day": "keep_if_null"})
 
-    blocks = wh.fresh("blocks", "star_blocks", "staged_at").persist()
-    loaded = st.load_fact_block(None, blocks, ["staged_at", "block_hash"])
+    blocks = wh.fresh("blocks", "star_blocks", "staged_run").persist()
+    loaded = st.load_fact_block(None, blocks, ["staged_run", "block_hash"])
     by_number = range_of("block_number")
     fact("fact_block", loaded, by_number, ["chain_key", "block_number"], {"ingestion_ds": "keep_if_null"})
 
-    metrics = wh.fresh("metrics", "star_metrics", "staged_at").persist()
+    metrics = wh.fresh("metrics", "star_metrics", "staged_run").persist()
     cryptos = wh.need("cryptos")
     dim("dim_crypto", st.build_dim_crypto(None, cryptos, ["processed_at"]), "crypto_id")
     loaded = st.load_fact_snapshot(None, metrics, cryptos)
@@ -229,7 +252,7 @@ def build_star(wh: Warehouse, now: str) -> None:
         run,
     )
     for source, rows in (("star_candles", candles), ("star_blocks", blocks), ("star_metrics", metrics)):
-        wh.advance(source, rows, "staged_at")
+        wh.advance(source, rows, "staged_run")
         rows.unpersist()
 
 
@@ -242,7 +265,7 @@ def analyse(wh: Warehouse, now: str, sel: an.Selection | None = None, days: int
     """The four analysis tables of a run; the run history only grows when enough buckets overlap."""
     sel, star = sel or an.Selection(), load_star(wh)
     start, end = an.lookback(dt.datetime.fromisoformat(now), days)
-    run = now.replace(" ", "T").replace(":", "")
+    run = wh.begin("analyse")
 
     def store(name: str, rows: DataFrame, ts: Column, keys: Sequence[str]) -> None:
         rows = rows.withColumns({"computed_at": at(now), "slice": day_of(ts), "_o": F.lit(0)})

@@ -16,9 +16,15 @@ from .merging import COLS, KEYS, KEY_SQL, LAST, ORDER, SPLIT, _split
 MONTH = "ship_month"
 
 
-def _events_stream(spark, sf_dir):
-    schema = b.table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+def _batches(spark, rows, times=1):
+    """A stream of ``rows``, delivered ``times`` over: a part with even weeks and one with odd weeks, each of many
+    days, so most rows of a later batch are days older than the newest row before them."""
+    source = shared_dir(spark, "batches")
+    odd = F.pmod(F.weekofyear("ts"), F.lit(2)) == 1
+    for _ in range(times):
+        for part in (rows.where(~odd), rows.where(odd)):
+            part.coalesce(2).write.mode("append").parquet(source)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "2").parquet(source)
 
 
 @query("stream_land_files", SCANNED)
@@ -70,10 +76,10 @@ def stream_upsert(spark, sf_dir):
     """,
 )
 def stream_tumbling_avg(spark, sf_dir):
-    """Ten-minute fee averages, updated windows merged into their table."""
-    clicks = _events_stream(spark, sf_dir).where("event_type = 'click'")
+    """Ten-minute fee averages, updated windows merged into their table, late rows included."""
+    clicks = _batches(spark, b.table(spark, sf_dir, "events").where("event_type = 'click'"))
     wei = F.round(F.col("value") * 1e9).cast("bigint").cast("double")
-    averages = tumbling_averages(clicks, "ts", wei / F.lit(1e9), 10, "1 hour", "avg_base_fee_gwei")
+    averages = tumbling_averages(clicks, "ts", wei / F.lit(1e9), 10, "avg_base_fee_gwei")
     out = shared_dir(spark, "tumbling")
     daily = averages.withColumn("day", F.to_date("hour_ts"))
     merge = upsert_into(out, ["hour_ts"], ["avg_base_fee_gwei"], "day")
@@ -83,12 +89,9 @@ def stream_tumbling_avg(spark, sf_dir):
 
 @query("stream_dedupe", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def stream_dedupe(spark, sf_dir):
-    """Every event delivered twice; one copy comes out."""
-    source = shared_dir(spark, "redelivered")
+    """Every event delivered twice, in batches with late rows; one copy comes out."""
     events = b.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    for _ in range(2):
-        events.write.mode("append").parquet(source)
-    stream = spark.readStream.schema(events.schema).parquet(source)
+    stream = _batches(spark, events, times=2)
     out = shared_dir(spark, "distinct")
-    land_stream(dedupe_stream(stream, ["event_id"], "ts", "1 day"), out, shared_dir(spark, "distinct-checkpoint"))
+    land_stream(dedupe_stream(stream, ["event_id"]), out, shared_dir(spark, "distinct-checkpoint"))
     return spark.read.parquet(out)

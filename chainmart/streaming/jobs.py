@@ -22,29 +22,28 @@ def land_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def tumbling_averages(
-    rows: DataFrame, ts: str, value: Column, minutes: int, late: str, name: str = "avg_value"
+    rows: DataFrame, ts: str, value: Column, minutes: int, name: str = "avg_value"
 ) -> DataFrame:
     """Averages per tumbling window, ``(hour_ts, name)``. Write it in update mode and upsert by
-    ``hour_ts``: a late row within the watermark then corrects its window.
+    ``hour_ts``: a late row, however late, corrects its window.
 
-    ``minutes`` must divide 60, since stream windows are aligned to the epoch.
+    No watermark, which would drop rows without a trace: the state is one sum and count per window, so it grows with
+    the time covered and not with the rows. ``minutes`` must divide 60, since stream windows are aligned to the epoch.
     """
     if 60 % minutes:
         raise ValueError("stream windows need a length that divides the hour")
     return (
         rows.withColumn("_ts", F.col(ts).cast("timestamp"))
-        .withWatermark("_ts", late)
         .groupBy(F.window("_ts", f"{minutes} minutes"))
         .agg(F.avg(value).alias(name))
         .select(F.col("window.start").cast("timestamp_ntz").alias("hour_ts"), name)
     )
 
 
-def dedupe_stream(rows: DataFrame, keys: Sequence[str], ts: str, late: str) -> DataFrame:
-    """The first row per key; keys are forgotten once the watermark has passed them."""
-    return (
-        rows.withColumn("_ts", F.col(ts).cast("timestamp"))
-        .withWatermark("_ts", late)
-        .dropDuplicatesWithinWatermark(list(keys))
-        .drop("_ts")
-    )
+def dedupe_stream(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The first row per key, however late it or its repetition arrives.
+
+    No watermark, so no row is dropped for its age. The state holds every key seen: for many keys set
+    ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider, which keeps them on disk.
+    """
+    return rows.dropDuplicates(list(keys))

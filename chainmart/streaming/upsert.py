@@ -24,33 +24,48 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it; nothing happens if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def merge_into(path: str, partition_by: str, merge: Merge) -> Callable[[DataFrame, int | str], None]:
     """A ``foreachBatch`` function replacing the partitions a batch touches by ``merge(target, batch)``.
 
     The partition must follow from the key and not be NULL. Only touched partitions are read
-    and rewritten. The merged rows are first written aside under the batch's name: a batch
-    repeated after a failure finds them complete and just publishes them again, so an
-    interrupted replacement never loses a partition. One writer per table.
+    and rewritten. The merged rows are first written aside and marked complete, then published,
+    then removed: a replacement that was interrupted is published again before anything else is
+    merged, so it never loses a partition. Batch ids play no part, so a new checkpoint may begin
+    at 0 again. A batch repeated after a failure is merged once more, which must change nothing:
+    ``merge`` has to give the same table for the same batch applied twice. One writer per table.
     """
+    aside = f"{path.rstrip('/')}_staged"
+
+    def publish(spark: SparkSession) -> None:
+        write_merged(spark.read.parquet(f"{aside}/rows"), path, partition_by)
+        # the mark goes first: rows without it are never published
+        remove(spark, f"{aside}/complete")
+        remove(spark, aside)
 
     def merge_batch(batch: DataFrame, batch_id: int | str) -> None:
         spark = batch.sparkSession
-        aside = f"{path.rstrip('/')}_staged/batch={batch_id}"
-        if read_or_none(spark, f"{aside}/complete") is None:
-            # used twice below, and the batch may come out of a stateful plan
-            batch = batch.persist()
-            if batch.isEmpty():
-                batch.unpersist()
-                return
-            target = read_or_none(spark, path)
-            if target is not None:
-                # values of the partition column only, so the scan prunes by them
-                touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
-                target = target.where(F.col(partition_by).isin(touched))
-            merge(target, batch).write.mode("overwrite").parquet(f"{aside}/rows")
+        if read_or_none(spark, f"{aside}/complete") is not None:
+            publish(spark)
+        # used twice below, and the batch may come out of a stateful plan
+        batch = batch.persist()
+        if batch.isEmpty():
             batch.unpersist()
-            spark.range(1).write.mode("overwrite").parquet(f"{aside}/complete")
-        write_merged(spark.read.parquet(f"{aside}/rows"), path, partition_by)
+            return
+        target = read_or_none(spark, path)
+        if target is not None:
+            # values of the partition column only, so the scan prunes by them
+            touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
+            target = target.where(F.col(partition_by).isin(touched))
+        merge(target, batch).write.mode("overwrite").parquet(f"{aside}/rows")
+        batch.unpersist()
+        spark.range(1).write.mode("overwrite").parquet(f"{aside}/complete")
+        publish(spark)
 
     return merge_batch
 

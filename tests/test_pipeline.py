@@ -116,3 +116,23 @@ def test_two_runs(spark, tmp_path):
     live = integrated_buckets(pl.load_star(wh), Selection(), "2026-01-01 00:00:00", "2026-01-02 00:00:00")
     last = live.orderBy("bucket_ts").collect()[-1]
     assert (last["bucket_ts"].minute, last["cmc_price_usd"]) == (50, 50.0)
+
+
+def test_nothing_is_lost_between_jobs_and_rejects_come_once(spark, tmp_path):
+    """One ``now`` for every run, then an earlier one; each file is staged and each bad row rejected once."""
+    wh, raw = pl.Warehouse(spark, str(tmp_path / "wh")), tmp_path / "raw"
+    put(raw, "blocks/2026-01-01/b.jsonl", block(1, 0, 1))
+    put(raw, "listings/2026-01-01/l.json", listing(50.0))
+    now, earlier = "2026-01-01 00:45:00", "2025-12-31 00:00:00"
+    files = [("a", now, [candle(0, 1.0), candle(1, -1), "junk"]), ("b", now, [candle(2, 1.0)]), ("c", earlier, [candle(3, 1.0)])]
+    for name, at_time, lines in files:
+        put(raw, f"candles/2026-01-01/{name}.jsonl", *lines)
+        pl.land(wh, str(raw), at_time[:10], at_time)
+        pl.stage(wh, at_time)
+        pl.stage(wh, at_time)
+        pl.build_star(wh, at_time)
+    minutes = lambda name, c, unit: sorted((r[0] - ms(0) * unit) // (60000 * unit) for r in wh.need(name).select(c).collect())
+    assert minutes("candles", "open_time_ms", 1) == [0, 2, 3]
+    assert minutes("fact_candle", "open_time_key", 1000) == [0, 2, 3]
+    assert wh.need("candles_rejects").count() == 1
+    assert wh.need("landing_candles_rejects").count() == 1
