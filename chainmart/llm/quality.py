@@ -79,6 +79,8 @@ def with_counts(docs: DataFrame, text: str = "text", into: str = "_q") -> DataFr
         rows = [counts_of(t) for t in utf8(pa.array(texts, pa.string(), from_pandas=True))]
         return pd.DataFrame(rows, columns=list(COUNTS), dtype="int64")
 
+    # a filter on the counts must not be moved below them: it would count every text once more
+    count = count.asNondeterministic()
     return small_batches(docs).withColumn(into, count(F.col(text).cast("string")))
 
 
