@@ -365,6 +365,36 @@ def test_toxicity_held_out(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
 
 
+def test_toxicity_held_out_by_language(spark):
+    """Rows never learnt from are caught in each language, not only where the marked words are short of endings."""
+    sf = "/root/testdata/sf0.1"
+    lang = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    out = toxicity.op10_toxicity(spark, sf).join(lang, "doc_id")
+    rows = out.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
+    of = lambda x, y: np.array([r.predicted for r in rows if r.lang == x and r.toxic == y])
+    for x, least in (("de", 0.75), ("en", 0.85), ("es", 0.4), ("fr", 0.85)):
+        assert of(x, 1).mean() >= least and of(x, 0).mean() <= 0.08, x
+    y, caught = np.array([r.toxic for r in rows]), np.array([r.predicted for r in rows])
+    assert caught[y == 1].mean() > 0.85 and caught[y == 0].mean() < 0.03
+
+
+def test_toxicity_stems_and_short_words():
+    """A short word counts at the end of its window, and a word never seen counts by a stem it shares."""
+    rng = np.random.default_rng(3)
+    made = lambda n: ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(n)]
+    rows = []
+    for i in range(400):
+        words, y = made(60), int(i % 4 == 0)
+        # each stemmed word once only: no whole word is frequent
+        marks = [f"klmnopqr{e}" for e in made(2)] + ["zwxv"] if y else []
+        at = rng.permutation(len(words) + len(marks))
+        rows.append((" ".join(np.array(words + marks)[at]).encode(), y))
+    model = toxicity.fit(rows[:300], rows[300:])
+    of = toxicity.Distance(model["toxic"], model["ordinary"])
+    assert of[b"zwxv"] >= 2 and of[b"klmnopqryzyz"] >= 2
+    assert np.mean([of[w.encode()] >= 2 for w in made(300)]) < 0.1
+
+
 def test_toxicity_awkward(spark, docs, none):
     labels = table(spark, "labels")
     model = toxicity.fit_on(docs, labels)
