@@ -297,7 +297,8 @@ def _merged(found: list[DataFrame], keys: DataFrame, key: str) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, in which no window of the benchmark occurs."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    # written once: another scan may be cut otherwise, and would number the rows otherwise
+    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     found = contamination(numbered.select("_row", text), benchmark, "_row", text)
     bad = stored(found.where("n_hit > 0").select("_row"), "contaminated")
     return numbered.join(bad, "_row", "left_anti").select(*docs.columns)

@@ -24,7 +24,8 @@ def toxic_documents(spark, docs, sf_dir):
 
 def near_duplicates(spark, docs, sf_dir):
     """The first document of each group of near-duplicates."""
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    # written once: another scan may be cut otherwise, and would number the rows otherwise
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     found = simhash.near_duplicates(rows, "_row", "text", shingle=4, distance=4)
     first = stored(found.where("_row = component_id").select("_row"), "first-of-group")
     return rows.join(first, "_row", "left_semi").select(*docs.columns)
