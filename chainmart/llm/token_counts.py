@@ -3,7 +3,8 @@
 All pieces that end at a position are enumerated by one automaton. The best score of each prefix is kept with its number
 of pieces, so no path is stored. Ties and unknown characters follow the tokenizers library: a later candidate for a
 position wins only with a larger score, pieces come before it by earlier start, an unknown character costs 10 below the
-smallest score, and unknown neighbours are one token.
+smallest score, and unknown neighbours are one token. Byte pieces are left out, so there is no byte fallback, and
+words part at every mark, so pieces that are runs of marks never match.
 """
 
 from __future__ import annotations
