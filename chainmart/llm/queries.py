@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from . import (
     bpe,
+    conversation_repair,
     decontaminate,
+    fingerprints,
     preference,
+    prefix_trie,
     quality,
     sharding,
     simhash,
@@ -26,9 +29,13 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_fingerprints": fingerprints.op11_fingerprints,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 ORACLES = {
     "op6_sharding": sharding.ORACLE,
     "op7_preference_pairs": preference.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
