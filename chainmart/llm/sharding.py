@@ -23,10 +23,16 @@ def balanced_shards(df: DataFrame, key: str, size: str, n_shards: int, order: li
     is cut into ``n_shards`` equal targets and a row goes where its middle lies, so a shard misses its target by less
     than one row. ``slot`` counts the rows of a shard from 0. Rows that are equal in all columns may change places.
     An empty table gives no rows. Sizes have to be positive. Only the columns of ``df`` are moved: pass no texts.
+    Columns of ``df`` may have any names but those of the two that are added.
     """
     if n_shards < 1:
         raise ValueError("at least one shard")
-    order = [F.col(c).asc_nulls_first() for c in dict.fromkeys([key, *order, size])]
+    names = list(dict.fromkeys([key, *order, size]))
+    columns, df = df.columns, df.select(
+        F.struct(*df.columns).alias("_own"), F.col(size).alias("_size"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(names)]
+    )
+    size = "_size"
+    order = [F.col(f"_o{i}").asc_nulls_first() for i in range(len(names))]
     dealt = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
     dealt = stored(dealt, "shard-ranges")  # ranges are sampled: fix them before they are read twice
     totals = dealt.groupBy("_range").agg(F.sum(size).alias("_bytes"), F.count("*").alias("_rows"))
@@ -51,12 +57,13 @@ def balanced_shards(df: DataFrame, key: str, size: str, n_shards: int, order: li
         .withColumns({"_start": F.col("_start") + F.col("_bytes_before"), "_nth": F.col("_nth") + F.col("_rows_before")})
         # the middle in halves of a byte, as decimal: no overflow however long the line
         .withColumn("_mid", (F.col("_start") * 2 + F.col(size)).cast("decimal(28,0)"))
-        .withColumn("shard", F.expr(f"int(floor(_mid * {int(n_shards)} / (_all * 2)))"))
+        # whole numbers throughout: a quotient of decimals would be rounded up just below a cut
+        .withColumn("shard", F.expr(f"int((_mid * {int(n_shards)}) div (cast(_all AS decimal(28,0)) * 2))"))
     )
-    placed = stored(placed.select(*df.columns, "shard", "_nth"), "shard-places")
+    placed = stored(placed.select("_own", "shard", "_nth"), "shard-places")
     first = placed.groupBy("shard").agg(F.min("_nth").alias("_first"))
     out = placed.join(first, "shard").withColumn("slot", F.col("_nth") - F.col("_first"))
-    return out.select(*df.columns, "shard", "slot")
+    return out.select(*[F.col("_own")[c].alias(c) for c in columns], "shard", "slot")
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 40, key: str = "doc_id", text: str = "text") -> DataFrame:
