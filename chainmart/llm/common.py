@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chainmart.session import shared_dir
 
@@ -30,10 +30,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage: a lost executor repeats only what comes after, and each later use sees the same rows.
     """
     path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered_rows(df: DataFrame) -> DataFrame:
+    """``row, own``: a number for each row beside the row itself, whose columns may have any names.
+
+    The number follows the way in which ``df`` is read: store it before it is used twice.
+    """
+    return df.select(F.monotonically_increasing_id().alias("row"), F.struct(*df.columns).alias("own"))
+
+
+def own_columns(rows: DataFrame, df: DataFrame) -> DataFrame:
+    """The columns of ``df`` out of ``own``."""
+    return rows.select(*[F.col("own")[c].alias(c) for c in df.columns])
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow column as UTF-8 bytes; a null counts as empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import read_table, small_batches, stored, utf8
+from .common import numbered_rows, own_columns, read_table, small_batches, stored, utf8
 
 #: words of a window of an item
 WINDOW = 10
@@ -259,19 +259,18 @@ def contamination(
         wanted = wanted.withColumn(item, F.col(item).cast("string"))
     kind = wanted.schema[item].dataType
     found = []
-    rows = docs.select(key, text)
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     if parts > 1:
-        rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
     for k in range(parts):
         part = wanted if parts == 1 else wanted.where(F.pmod(F.xxhash64(item, text), F.lit(parts)) == k)
         items = [(r[0], r[1].encode()) for r in part.collect()]
-        found.append(_pass(rows, key if parts == 1 else "_row", text, items, kind, window))
-    if parts == 1:
-        return found[0]
-    return _merged(found, rows.select("_row", key), key)
+        found.append(_pass(rows, "key" if parts == 1 else "row", "text", items, kind, window))
+    out = found[0] if parts == 1 else _merged(found, rows.select("row", "key"))
+    return out.withColumnRenamed("key", key)
 
 
-def _merged(found: list[DataFrame], keys: DataFrame, key: str) -> DataFrame:
+def _merged(found: list[DataFrame], keys: DataFrame) -> DataFrame:
     """Findings of several parts of a benchmark, one row for each row of ``keys``."""
     every = found[0]
     for f in found[1:]:
@@ -286,22 +285,22 @@ def _merged(found: list[DataFrame], keys: DataFrame, key: str) -> DataFrame:
             F.concat(done, F.array(s))
         )
 
-    merged = every.groupBy("_row").agg(
+    merged = every.groupBy("row").agg(
         F.max("n_words").alias("n_words"),
         F.aggregate(F.array_sort(F.flatten(F.collect_list("spans"))), zero, add).alias("spans"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
     )
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return keys.join(merged, "_row").select(key, "n_words", hit.alias("n_hit"), "spans", "items")
+    return keys.join(merged, "row").select("key", "n_words", hit.alias("n_hit"), "spans", "items")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, in which no window of the benchmark occurs."""
     # written once: another scan may be cut otherwise, and would number the rows otherwise
-    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = contamination(numbered.select("_row", text), benchmark, "_row", text)
-    bad = stored(found.where("n_hit > 0").select("_row"), "contaminated")
-    return numbered.join(bad, "_row", "left_anti").select(*docs.columns)
+    rows = stored(numbered_rows(docs), "numbered")
+    found = contamination(rows.select("row", F.col("own")[text].alias("text")), benchmark, "row", "text")
+    bad = stored(found.where("n_hit > 0").select("row"), "contaminated")
+    return own_columns(rows.join(bad, "row", "left_anti"), docs)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

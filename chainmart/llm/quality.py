@@ -15,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from .common import read_table, small_batches, stored, utf8
+from .common import own_columns, read_table, small_batches, stored, utf8
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\v\f\r"
@@ -180,9 +180,15 @@ def quality_rules(
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang"):
     """The rows of ``docs``, all columns, that the rules keep."""
-    narrow = with_counts(docs.select(F.col(key), F.col(text), F.col(stratum)), text).drop(text)
-    chosen = stored(cutoffs(narrow, labels, key, stratum), "cutoffs")
-    return judge(with_counts(docs, text), chosen, stratum).where("kept").select(*docs.columns)
+    labels = labels.select(F.col(key).alias("key"), "quality")
+    narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(stratum).alias("stratum"))
+    # only labelled rows are evidence: the others need no counts here
+    narrow = narrow.join(labels.where("quality = 1").select("key").distinct(), "key", "left_semi")
+    chosen = stored(cutoffs(with_counts(narrow).drop("text"), labels, "key", "stratum"), "cutoffs")
+    rows = docs.select(
+        F.struct(*docs.columns).alias("own"), F.col(text).alias("text"), F.col(stratum).alias("stratum")
+    )
+    return own_columns(judge(with_counts(rows), chosen, "stratum").where("kept"), docs)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

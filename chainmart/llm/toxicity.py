@@ -17,7 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import LOWER, read_table, small_batches, utf8
+from .common import LOWER, own_columns, read_table, small_batches, utf8
 
 #: remainder of the key's checksum modulo 4: never learnt from; calibrated on; the rest trains
 HELD_OUT, CALIBRATE = 2, 3
@@ -168,6 +168,7 @@ def fit_on(
 
     Null keys, labels and texts are passed over; of several labels of a key the largest counts.
     """
+    docs = docs.select(F.col(key), F.col(text))
     known = labels.where("toxic IN (0, 1)").groupBy(key).agg(F.max("toxic").alias("_y"))
     parts = {}
     for use, rest in (("train", [0, 1]), ("calibrate", [CALIBRATE])):
@@ -210,8 +211,9 @@ def score(docs: DataFrame, model: dict, text: str = "text", into: str = "score")
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that are not predicted to be toxic."""
-    scored = score(docs, fit_on(docs, labels, key, text), text, "_score")
-    return scored.where(F.col("_score") < PREDICT_AT).select(*docs.columns)
+    model = fit_on(docs, labels, key, text)
+    rows = docs.select(F.struct(*docs.columns).alias("own"), F.col(text).alias("text"))
+    return own_columns(score(rows, model).where(F.col("score") < PREDICT_AT), docs)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
