@@ -15,8 +15,9 @@ BITS = 64
 SEED = 42
 #: fingerprints that share a key and are compared in one task; larger groups are dealt out in tiles
 TILE = 20_000
-#: fingerprints to expect for one key
-PER_KEY = 16
+#: blocks of a key. Of ``distance + MATCHED`` blocks two near fingerprints agree on so many at least: at a distance of 4
+#: each has 15 keys of 21 bits, so that 10**10 fingerprints make groups of some 5,000
+MATCHED = 2
 
 
 def simhash(text: bytes, shingle: int = 4) -> int:
@@ -63,18 +64,6 @@ def block_keys(n_blocks: int, matched: int):
     return F.array(*keys)
 
 
-def blocks_for(n: int, distance: int) -> tuple[int, int]:
-    """Blocks and matched blocks: two fingerprints within ``distance`` agree on that many blocks at least.
-
-    More blocks give longer keys and smaller groups, and each fingerprint more keys; all choices find every pair.
-    """
-    for matched in range(1, 7):
-        n_blocks = distance + matched
-        if n <= PER_KEY << (BITS * matched // n_blocks):
-            break
-    return n_blocks, matched
-
-
 def stars(fps: np.ndarray, distance: int) -> tuple[list[np.ndarray], list[int]]:
     """Components of a group of distinct fingerprints: the members of each beside its root, the smallest.
 
@@ -146,9 +135,7 @@ def near_links(fps: DataFrame, distance: int, tile: int = TILE) -> DataFrame:
     Fingerprints that agree on enough blocks meet in a group; each group returns a spanning forest of its links, not
     its pairs. A group over ``tile`` is cut in tiles, and each two tiles meet in a task of their own.
     """
-    n = fps.count()
-    n_blocks, matched = blocks_for(n, distance)
-    keyed = fps.select(F.explode(block_keys(n_blocks, matched)).alias("key"), "fp")
+    keyed = fps.select(F.explode(block_keys(distance + MATCHED, MATCHED)).alias("key"), "fp")
     # groups that are too large for a task; of n fingerprints there are at most (keys a fingerprint) * n / tile
     hot = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > tile)
     one = F.lit(0)
