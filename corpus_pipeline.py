@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chainmart.llm import bpe, decontaminate, quality, simhash, toxicity
-from chainmart.llm.common import read_table, stored
+from chainmart.llm.common import numbered_rows, own_columns, read_table, stored
 
 
 def quality_rules(spark, docs, sf_dir):
@@ -25,10 +25,10 @@ def toxic_documents(spark, docs, sf_dir):
 def near_duplicates(spark, docs, sf_dir):
     """The first document of each group of near-duplicates."""
     # written once: another scan may be cut otherwise, and would number the rows otherwise
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = simhash.near_duplicates(rows, "_row", "text", shingle=4, distance=4)
-    first = stored(found.where("_row = component_id").select("_row"), "first-of-group")
-    return rows.join(first, "_row", "left_semi").select(*docs.columns)
+    rows = stored(numbered_rows(docs), "numbered")
+    found = simhash.near_duplicates(rows.select("row", "own.text"), "row", "text", shingle=4, distance=4)
+    first = stored(found.where("row = component_id").select("row"), "first-of-group")
+    return own_columns(rows.join(first, "row", "left_semi"), docs)
 
 
 def benchmark_passages(spark, docs, sf_dir):
