@@ -26,6 +26,8 @@ from ..functions import (
 )
 from ..operators.joins import lookup_keys
 from ..operators.merge import insert_if_absent, merge_upsert
+from ..operators.quality import Rule, split_valid
+from ..operators.quarantine import Lookup, resolve
 
 # Seeded members.
 EXCHANGE = "Binance"
@@ -139,6 +141,42 @@ def build_dim_crypto(existing: DataFrame | None, cryptos: DataFrame, order: Sequ
     return merge_upsert(existing, rows, ["crypto_id"], [f"_order_{o}" for o in order])
 
 
+def split_candles(
+    staged: DataFrame, dim_asset: DataFrame, dim_interval: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(ready, waiting, rejects)``: candles whose members are known, ones that wait for a member, unusable ones."""
+    rules = [
+        Rule("blank_symbol", clean_symbol(F.col("symbol")).isNotNull()),
+        Rule("blank_interval", blank_to_null(F.col("interval")).isNotNull()),
+        Rule("no_open_time", from_epoch_ms(F.col("open_time_ms")).isNotNull()),
+        Rule("no_close_time", from_epoch_ms(F.col("close_time_ms")).isNotNull()),
+    ]
+    valid, rejects = split_valid(staged, rules)
+    valid = valid.withColumns({"symbol": clean_symbol(F.col("symbol")), "interval": F.trim("interval")})
+    lookups = candle_lookups(dim_asset, dim_interval)
+    ready, waiting = resolve(valid, lookups)
+    return ready.select(*staged.columns), waiting, rejects
+
+
+def candle_lookups(dim_asset: DataFrame, dim_interval: DataFrame) -> list[Lookup]:
+    return [Lookup("asset", dim_asset, "symbol", "asset_key"), Lookup("interval", dim_interval, "interval", "interval_key")]
+
+
+def split_snapshots(metrics: DataFrame, cryptos: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(ready, waiting, rejects)``: metrics of described assets, ones whose asset is not described yet, unusable ones."""
+    rules = [Rule("no_asset", F.col("crypto_id").isNotNull()), Rule("no_time", F.col("recorded_at").isNotNull())]
+    valid, rejects = split_valid(metrics, rules)
+    ready, waiting = resolve(valid, snapshot_lookups(cryptos))
+    return ready.select(*metrics.columns), waiting, rejects
+
+
+def snapshot_lookups(cryptos: DataFrame) -> list[Lookup]:
+    described = cryptos.where(
+        blank_to_null(F.col("symbol")).isNotNull() & blank_to_null(F.col("name")).isNotNull()
+    ).select("crypto_id", F.col("crypto_id").alias("known_id"))
+    return [Lookup("crypto", described, "crypto_id", "known_id")]
+
+
 CANDLE_FACT_KEYS = ("exchange_key", "asset_key", "interval_key", "open_time_key")
 CANDLE_MEASURES = (
     "open",

@@ -42,12 +42,19 @@ def raw_documents(docs: DataFrame, status: int = 200, received_at: Column | None
     )
 
 
-def write_merged(merged: DataFrame, path: str, partition_by: str) -> None:
+def rejected_documents(docs: DataFrame, received_at: Column) -> DataFrame:
+    """Files that did not parse, whole, so that they can be read again once what is wrong with them is known."""
+    return docs.where(F.col("doc").isNull()).select(
+        F.col("file_path").alias("source_file"), "value", F.lit("not_json").alias("reject_reason"), received_at.alias("updated_at")
+    )
+
+
+def write_merged(merged: DataFrame, path: str, *partition_by: str) -> None:
     """Replace exactly the partitions that occur in ``merged``; all others stay untouched."""
     (
-        merged.hint("rebalance", partition_by)
+        merged.hint("rebalance", *partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
+        .partitionBy(*partition_by)
         .parquet(path)
     )

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import merge_upsert
+from ..operators.merge import dedupe, merge_upsert
 from ..sources.sinks import write_merged
 
 Merge = Callable[[DataFrame | None, DataFrame], DataFrame]
@@ -30,7 +32,14 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def merge_into(path: str, partition_by: str, merge: Merge) -> Callable[[DataFrame, int | str], None]:
+def log_path(path: str) -> str:
+    """Folder of a table's change log."""
+    return f"{path.rstrip('/')}_changes"
+
+
+def merge_into(
+    path: str, partition_by: str, merge: Merge, written_by: str | None = None, run: int | None = None, zone: str | None = None
+) -> Callable[[DataFrame, int | str], None]:
     """A ``foreachBatch`` function replacing the partitions a batch touches by ``merge(target, batch)``.
 
     The partition must follow from the key and not be NULL. Only touched partitions are read
@@ -39,11 +48,21 @@ def merge_into(path: str, partition_by: str, merge: Merge) -> Callable[[DataFram
     merged, so it never loses a partition. Batch ids play no part, so a new checkpoint may begin
     at 0 again. A batch repeated after a failure is merged once more, which must change nothing:
     ``merge`` has to give the same table for the same batch applied twice. One writer per table.
+
+    With ``written_by``, the column that holds the number of the run that wrote a row, the rows that this ``run`` wrote
+    are kept in the change log as well, in a folder of the run (see ``changes``). With ``zone``, the least and the
+    greatest value of that column are kept for each partition (see ``zones``).
     """
     aside = f"{path.rstrip('/')}_staged"
 
     def publish(spark: SparkSession) -> None:
-        write_merged(spark.read.parquet(f"{aside}/rows"), path, partition_by)
+        rows = spark.read.parquet(f"{aside}/rows")
+        write_merged(rows, path, partition_by)
+        if zone is not None:
+            spans = rows.groupBy(partition_by).agg(
+                F.min(zone).alias("least"), F.max(zone).alias("greatest"), F.count("*").alias("n_rows")
+            )
+            write_merged(spans, f"{path.rstrip('/')}_zones", partition_by)
         # the mark goes first: rows without it are never published
         remove(spark, f"{aside}/complete")
         remove(spark, aside)
@@ -64,12 +83,69 @@ def merge_into(path: str, partition_by: str, merge: Merge) -> Callable[[DataFram
             target = target.where(F.col(partition_by).isin(touched))
         merge(target, batch).write.mode("overwrite").parquet(f"{aside}/rows")
         batch.unpersist()
+        if written_by is not None:
+            # before the mark, so that no published row lacks in the log; a repeated batch replaces its folder
+            new = spark.read.parquet(f"{aside}/rows").where(F.col(written_by) == run)
+            new.write.mode("overwrite").parquet(f"{log_path(path)}/run={run}/batch={batch_id}")
         spark.range(1).write.mode("overwrite").parquet(f"{aside}/complete")
         publish(spark)
 
     return merge_batch
 
 
+def changes(spark: SparkSession, path: str, above: int, keys: Sequence[str]) -> DataFrame | None:
+    """Rows of a table that runs ``above`` a mark wrote, the last version of each key; None without a log.
+
+    Folders of runs at or below the mark are not opened.
+    """
+    log = read_or_none(spark, log_path(path))
+    if log is None:
+        return None
+    return dedupe(log.where(F.col("run") > above), keys, ["run", "batch"]).drop("run", "batch")
+
+
+def compact_changes(spark: SparkSession, path: str, upto: int, keys: Sequence[str]) -> None:
+    """Put the log's runs up to ``upto`` into one folder, the last version of each key.
+
+    Interrupted, it leaves rows in two folders, of which readers take one. A reader below ``upto`` reads the compacted
+    rows whole, so compact up to the least mark.
+    """
+    log = read_or_none(spark, log_path(path))
+    old = [] if log is None else [r[0] for r in log.select("run").where(F.col("run") <= upto).distinct().collect()]
+    if len(old) < 2:
+        return
+    into = f"{log_path(path)}/run={max(old)}"
+    aside = f"{path.rstrip('/')}_compacted"
+    rows = dedupe(log.where(F.col("run") <= upto), keys, ["run", "batch"]).drop("run", "batch")
+    rows.write.mode("overwrite").parquet(aside)
+    batches = [r[0] for r in log.where(F.col("run") == max(old)).select("batch").distinct().collect()]
+    compacted = max(batches) + 1
+    spark.read.schema(rows.schema).parquet(aside).write.mode("overwrite").parquet(f"{into}/batch={compacted}")
+    for b in batches:
+        remove(spark, f"{into}/batch={b}")
+    for r in old:
+        if r != max(old):
+            remove(spark, f"{log_path(path)}/run={r}")
+    remove(spark, aside)
+
+
+def pruned(table: DataFrame, zones: DataFrame, partition_by: str, start, end) -> DataFrame:
+    """``table`` without the partitions whose zone misses ``[start, end)``.
+
+    The zone map has one row for each partition; neighbouring partitions become one range, so the condition stays
+    short, and it reaches the scan as a filter of partitions.
+    """
+    hit = zones.where((F.col("greatest") >= F.lit(start)) & (F.col("least") < F.lit(end))).select(partition_by)
+    ranges: list[list[int]] = []
+    for (p,) in sorted(hit.collect()):
+        if ranges and p <= ranges[-1][1] + 1:
+            ranges[-1][1] = p
+        else:
+            ranges.append([p, p])
+    inside = [F.col(partition_by).between(a, b) for a, b in ranges]
+    return table.where(reduce(Column.__or__, inside) if inside else F.lit(False))
+
+
 def upsert_into(
     path: str,
     keys: Sequence[str],
