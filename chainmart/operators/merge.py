@@ -99,13 +99,15 @@ def merge_documents(
     fields: Sequence[str],
     set_on_insert: Sequence[str],
     present: str = "fields_present",
+    payload: str | None = None,
 ) -> DataFrame:
     """Field-level document merge.
 
     Of ``fields``, those a document does not carry keep their old value, while
     an explicit NULL overwrites; ``set_on_insert`` columns are written by the
     first document only. ``present`` lists the fields each document carried
-    and becomes their union.
+    and becomes their union. ``payload`` names a map of fields that are not declared, which
+    merge by the same rules (see ``merge_payloads``).
     """
     cols = [*keys, *fields, *set_on_insert, present]
     stacked = _stack(target, updates, order, cols)
@@ -118,9 +120,36 @@ def merge_documents(
     carried = F.filter(
         F.array(*[F.when(F.col(f"_has_{f}"), F.lit(f)) for f in fields]), lambda x: x.isNotNull()
     )
-    return merged.select(
+    merged = merged.select(
         *keys,
         *fields,
         *[F.col(f"_inserted.{c}").alias(c) for c in set_on_insert],
         carried.alias(present),
     )
+    if payload is None:
+        return merged
+    open_fields = merge_payloads(target, updates, keys, order, payload)
+    # keys may be null, as documents may carry a null key
+    open_fields = open_fields.withColumnsRenamed({k: f"_open_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_open_{k}")) for k in keys]
+    none = F.create_map().cast("map<string,string>")
+    return merged.join(open_fields, same, "left").select(
+        *merged.columns, F.coalesce(F.col(payload), none).alias(payload)
+    )
+
+
+def merge_payloads(
+    target: DataFrame | None, updates: DataFrame, keys: Sequence[str], order: Sequence[str], payload: str
+) -> DataFrame:
+    """``keys`` and the merged ``payload`` of open documents: a map from field to JSON text.
+
+    Each field takes its last writer in ``order``, so a field that a document does not carry stays and a JSON null
+    clears what was there (the field stays, as null). Fields are merged as rows of their own, combined before the
+    shuffle, and put together again for each key; a key without any field has no row.
+    """
+    entries = _stack(target, updates, order, [*keys, payload]).select(
+        *keys, "_ord", F.explode(payload).alias("_field", "_value")
+    )
+    latest = entries.groupBy(*keys, "_field").agg(F.max_by("_value", "_ord").alias("_value"))
+    pairs = F.sort_array(F.collect_list(F.struct("_field", "_value")))
+    return latest.groupBy(*keys).agg(F.map_from_entries(pairs).alias(payload))

@@ -24,7 +24,7 @@ def land_candles(
         F.array_append("fields_present", F.lit("updated_at")),
     )
     state = merge_documents(
-        target, accepted, CANDLE_KEYS, FILE_ORDER, [*fields, "updated_at"], LANDING_STAMPS
+        target, accepted, CANDLE_KEYS, FILE_ORDER, [*fields, "updated_at"], LANDING_STAMPS, payload="extra"
     )
     return state, parsed.where(F.col("reject_reason").isNotNull())
 

@@ -148,6 +148,7 @@ def land(wh: Warehouse, raw: str, ds: str, now: str) -> None:
             FILE_ORDER,
             [*fields, "updated_at", "landed_run"],
             landing.LANDING_STAMPS,
+            payload="extra",
         )
 
     def merge_blocks(target: DataFrame | None, batch: DataFrame) -> DataFrame:

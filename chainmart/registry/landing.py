@@ -126,6 +126,50 @@ def land_candles(spark, sf_dir):
     )
 
 
+@query(
+    "land_open_documents",
+    f"""
+    WITH {CANDLE}
+    SELECT symbol, interval, open_time_ms,
+           CASE WHEN event_id % 2 = 0 THEN close + 1 ELSE close END AS close,
+           '"v' || event_id % 3 || '"' AS venue,
+           CASE WHEN event_id % 2 = 1 OR event_id % 3 = 2 THEN '"n' || event_id || '"'
+                WHEN event_id % 3 = 0 THEN 'null' ELSE '["again"]' END AS note,
+           '{{"bid":' || k || '}}' AS depth, CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) END AS late,
+           3 + CAST(event_id % 2 = 0 AS INTEGER) AS n_open
+    FROM v_candle
+    """,
+)
+def land_open_documents(spark, sf_dir):
+    """Fields outside the declared list: kept, cleared by a null, untouched when a later document lacks them."""
+    c = b.candles(spark, sf_dir).withColumn("k", F.col("volume").cast("bigint"))
+    key, i = ["symbol", "interval", "open_time_ms"], F.col("event_id")
+    first = F.struct(
+        *key,
+        "close",
+        F.concat(F.lit("v"), (i % 3).cast("string")).alias("venue"),
+        F.concat(F.lit("n"), i.cast("string")).alias("note"),
+        F.struct(F.col("k").alias("bid")).alias("depth"),
+    )
+    plain = F.struct(*key, (F.col("close") + 1).alias("close"), i.alias("late"))
+    closing = F.when(i % 3 == 0, ',"note":null}').when(i % 3 == 1, ',"note":["again"]}').otherwise("}")
+    again = F.concat(F.regexp_replace(F.to_json(plain), r"\}$", ""), closing)
+    once = written(spark, c.select(F.to_json(first).alias("value")), "open-first")
+    twice = written(spark, c.where(i % 2 == 0).select(again.alias("value")), "open-again")
+    state, _ = landing.land_candles(None, scan_jsonl(spark, once, LINES), DS, at("2024-01-21 00:00:00"))
+    state, _ = landing.land_candles(state, scan_jsonl(spark, twice, LINES), DS, at(NOW))
+    field = lambda f: F.try_element_at("extra", F.lit(f)).alias(f)
+    return state.select(
+        *key,
+        F.col("close").cast("double").alias("close"),
+        field("venue"),
+        field("note"),
+        field("depth"),
+        field("late"),
+        F.size("extra").alias("n_open"),
+    )
+
+
 @query(
     "stage_candles",
     f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ CANDLE_FIELDS = {
     "taker_buy_quote_volume": "string",
 }
 CANDLE_KEYS = ("symbol", "interval", "open_time_ms")
+STAMPS = ("ingested_at", "ingestion_ds", "source_file", "updated_at", "source_ingested_at")
 BLOCK_FIELDS = {
     "miner": "string",
     "gasUsed": "string",
@@ -74,11 +77,19 @@ def has_field(doc: str, name: str) -> Column:
     return F.try_variant_get(F.col(doc), f"$.{name}", "variant").isNotNull()
 
 
+def open_fields(doc: str, declared: Sequence[str]) -> Column:
+    """Fields of a VARIANT object that are not declared, as a map to their JSON texts; ``null`` for a JSON null."""
+    every = F.try_variant_get(F.col(doc), "$", "map<string,variant>")
+    others = F.map_filter(every, lambda name, _: ~name.isin(list(declared)))
+    return F.transform_values(others, lambda _, value: F.to_json(value))
+
+
 def parse_candles(lines: DataFrame, ingestion_ds: str | Column, now: Column) -> DataFrame:
     """Candle documents with their landing envelope and a ``reject_reason``.
 
     The source's own ``ingested_at`` is kept as ``source_ingested_at``; ``fields_present``
-    records which fields the document carried, for the field-level merge.
+    records which fields the document carried, for the field-level merge; ``extra`` has the
+    fields that are not declared, but for those whose names the landing stamps take.
     """
     rules = [
         Rule("not_an_object", F.col("doc").isNotNull()),
@@ -93,6 +104,7 @@ def parse_candles(lines: DataFrame, ingestion_ds: str | Column, now: Column) ->
             F.array(*carried, F.when(source_stamp.isNotNull(), F.lit("source_ingested_at"))),
             lambda x: x.isNotNull(),
         ).alias("fields_present"),
+        open_fields("doc", [*CANDLE_FIELDS, *STAMPS]).alias("extra"),
         now.alias("ingested_at"),
         (F.lit(ingestion_ds) if isinstance(ingestion_ds, str) else ingestion_ds).alias("ingestion_ds"),
         F.col("file_name").alias("source_file"),
