@@ -66,18 +66,27 @@ def tokenizer_json(path: str, most: int = 64 << 20) -> str:
     return content
 
 
-def load_tokenizer(content: str):
-    """The tokenizer of a file's content, kept by the Python worker for its next tasks."""
+def kept_by_worker(name: str, make):
+    """What ``make`` returns, kept by the Python worker for its next tasks."""
     import sys
     import types
-    import zlib
-
-    from tokenizers import Tokenizer
 
     kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
-    name = f"tokenizer-{zlib.crc32(content.encode())}-{len(content)}"
     if name not in kept:
-        kept[name] = Tokenizer.from_str(content)
-        kept[name].no_truncation()
-        kept[name].no_padding()
+        kept[name] = make()
     return kept[name]
+
+
+def load_tokenizer(content: str):
+    """The tokenizer of a file's content, kept by the Python worker for its next tasks."""
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    def make():
+        tokenizer = Tokenizer.from_str(content)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
+    return kept_by_worker(f"tokenizer-{zlib.crc32(content.encode())}-{len(content)}", make)

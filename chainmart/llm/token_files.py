@@ -12,6 +12,8 @@ and u64 word offset for each checkpoint, u64 ids of each document, u32 words of
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
 
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from .common import load_tokenizer, read_table, small_batches, stored, tokenizer_json, utf8
+from .common import kept_by_worker, load_tokenizer, read_table, small_batches, stored, tokenizer_json, utf8
 
 BYTE_BPE = "byte_bpe_50k.json"
 MAGIC = b"RANSIDS1"
@@ -34,6 +36,11 @@ BLOCK_IDS = 1 << 18
 #: frequencies of a table add up to 2 to this power
 TABLE_BITS = 20
 END_ID = 0
+#: segments of texts whose ids a worker keeps, and the longest of them
+SEGMENTS, SEGMENT_CHARS = 300_000, 64
+#: a space that follows something else than white space; two blanks of which the second is a space
+_CUT = re.compile(r"(?<=\S) ")
+_BLANKS = [w + " " for w in " \t\n\v\f\r\x1c\x1d\x1e\x1f"]
 #: ids of a vocabulary whose counts are gathered on the driver
 MAX_VOCABULARY = 1 << 19
 _LOW = np.uint64(1 << 31)
@@ -133,6 +140,56 @@ def decode_block(data: bytes, table: Table, first: int = 0, last: int | None = N
     return out, lengths
 
 
+class Segments(dict):
+    """Segment of a text -> its ids as bytes. Texts are cut where no token reaches across, so a segment is encoded once.
+
+    A byte-level BPE with the usual pattern never joins a character to a blank behind it, so before each space that
+    follows something else than white space a new token begins, whatever comes before or after.
+    """
+
+    def __init__(self, tokenizer, kind: str):
+        super().__init__()
+        self.tokenizer, self.kind = tokenizer, kind
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def __missing__(self, segment: str) -> bytes:
+        ids = self._encoded(segment)
+        if len(segment) <= SEGMENT_CHARS:
+            if len(self) >= SEGMENTS:
+                self.clear()
+            self[segment] = ids
+        return ids
+
+    def text(self, text: str) -> bytes:
+        if any(t in text for t in self.added):
+            return self._encoded(text)
+        if text.isascii() and not any(w in text for w in _BLANKS):
+            parts = text.split(" ")
+        else:
+            parts = _CUT.split(text)
+        out = [self[parts[0]]] if parts[0] else []
+        out += [self[p] for p in map(" ".__add__, parts[1:])]
+        return b"".join(out)
+
+
+def cut_at_spaces(content: str) -> bool:
+    """Whether a tokenizer file is a byte-level BPE as ``Segments`` needs it; others encode whole texts."""
+    t = json.loads(content)
+    model, pre = t["model"], t.get("pre_tokenizer") or {}
+    return (
+        t.get("normalizer") is None
+        and pre.get("type") == "ByteLevel"
+        and pre.get("use_regex", True)
+        and not pre.get("add_prefix_space", True)
+        and (t.get("post_processor") or {"type": "ByteLevel"})["type"] == "ByteLevel"
+        and model.get("type") == "BPE"
+        and not model.get("dropout")
+    )
+
+
 def tokenised(docs: DataFrame, path: str, key: str, text: str, end_id: int | None = END_ID) -> DataFrame:
     """``key, ids``: little-endian ids of every row, of two bytes each if the vocabulary allows, else four."""
     content = docs.sparkSession.sparkContext.broadcast(tokenizer_json(path))
@@ -141,11 +198,13 @@ def tokenised(docs: DataFrame, path: str, key: str, text: str, end_id: int | Non
     def run(batches):
         tokenizer = load_tokenizer(content.value)
         kind = "<u2" if tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4"
+        last = np.array(end, kind).tobytes()
+        segments = kept_by_worker(f"segments-{kind}-{id(tokenizer)}", lambda: Segments(tokenizer, kind))
+        encode = segments.text if cut_at_spaces(content.value) else segments._encoded
         for b in batches:
-            texts = [t.decode() for t in utf8(b.column(1))]
+            texts = utf8(b.column(1))
             for at in range(0, len(texts), 256):
-                some = tokenizer.encode_batch_fast(texts[at : at + 256], add_special_tokens=False)
-                ids = [np.array(e.ids + end, kind).tobytes() for e in some]
+                ids = [encode(t.decode()) + last for t in texts[at : at + 256]]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(ids)), pa.array(ids, pa.binary())], ["key", "ids"])
 
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("ids", T.BinaryType())])
