@@ -2,7 +2,7 @@
 
 from .asof import asof_join
 from .coerce import coerce_datetime_columns
-from .gaps import missing_minutes, missing_numbers
+from .gaps import missing_minutes, missing_numbers, to_fetch
 from .joins import known_keys, lookup_keys, scalar_key, star_join
 from .marks import candle_cursors, high_water_mark, incremental_scan
 from .merge import dedupe, insert_if_absent, merge_documents, merge_upsert
@@ -32,5 +32,6 @@ __all__ = [
     "scalar_key",
     "split_valid",
     "star_join",
+    "to_fetch",
     "tag_rejects",
 ]

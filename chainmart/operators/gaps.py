@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,35 +44,61 @@ def missing_minutes(
     return spine.join(present.distinct(), "minute_ts", "left_anti")
 
 
-def number_gaps(df: DataFrame, col: str, width: int) -> DataFrame:
-    """Gaps between consecutive numbers as ``(gap_start, gap_end)``.
+#: each level of ranges is so many times wider than the one below; from the last width on, one range holds what is left
+LEVEL, WIDEST = 1 << 20, 1 << 59
 
-    Numbers are cut into ranges of ``width``; each range finds its own gaps, and
-    the gaps between ranges come from one (min, max) row per range. Only the
-    range summaries are ever ordered as a whole.
+
+def number_gaps(
+    df: DataFrame, col: str, width: int, first: Column | int | None = None, last: Column | int | None = None
+) -> DataFrame:
+    """Gaps between consecutive numbers as ``(gap_start, gap_end)``; with bounds, all that ``[first, last]`` lacks.
+
+    Numbers are cut into ranges of ``width``. A range finds the gaps inside it and hands up its least and greatest
+    number alone; ranges are merged level by level. So however sparse the numbers are, a step orders ``width`` numbers
+    or ``LEVEL`` ranges at most, the last one what is left of all 64 bits, 2**24 ranges at most for the default width.
+    ``first`` and ``last`` (both or none) may be scalar subqueries; where first is above last nothing is missing.
     """
     n = F.col("_n")
-    present = df.select(F.col(col).cast("bigint").alias("_n")).where(n.isNotNull()).distinct()
-    ranged = present.withColumn("_range", F.floor(n / width))
-    inside = ranged.select(
-        n.alias("_prev"), F.lead("_n").over(Window.partitionBy("_range").orderBy("_n")).alias("_next")
-    )
-    edges = ranged.groupBy("_range").agg(F.min("_n").alias("_lo"), F.max("_n").alias("_hi"))
-    between = edges.select(
-        F.col("_hi").alias("_prev"), F.lead("_lo").over(Window.orderBy("_range")).alias("_next")
-    )
+    present = df.select(F.col(col).cast("bigint").alias("_n")).where(n.isNotNull())
+    if first is not None:
+        first, last = (F.lit(v).cast("bigint") if isinstance(v, int) else v.cast("bigint") for v in (first, last))
+        # one number before and one behind the bounds: what lacks at either end is a gap like any other
+        ends = df.sparkSession.range(1).select(first.alias("_first"), last.alias("_last")).where("_first <= _last")
+        ends = ends.select(F.explode(F.array(F.col("_first") - 1, F.col("_last") + 1)).alias("_n"))
+        present = present.where((n >= first) & (n <= last)).unionByName(ends)
+    edges = present.distinct().select(n.alias("_lo"), n.alias("_hi"))
+    gaps = []
+    while True:
+        final = width >= WIDEST
+        place = F.lit(0) if final else F.expr(f"(_lo - pmod(_lo, {width}L)) div {width}L")
+        ranged = edges.withColumn("_range", place)
+        following = F.lead("_lo").over(Window.partitionBy("_range").orderBy("_lo"))
+        gaps.append(ranged.select(F.col("_hi").alias("_prev"), following.alias("_next")))
+        if final:
+            break
+        edges = ranged.groupBy("_range").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")).drop("_range")
+        width *= LEVEL
     return (
-        inside.unionByName(between)
+        reduce(DataFrame.unionByName, gaps)
         .where("_next > _prev + 1")
         .select((F.col("_prev") + 1).alias("gap_start"), (F.col("_next") - 1).alias("gap_end"))
     )
 
 
-def missing_numbers(df: DataFrame, col: str, width: int = 1_000_000) -> DataFrame:
-    """Every number absent between the smallest and the largest one, as ``col``."""
+def to_fetch(cursor: Column, head: Column, first_run: int) -> tuple[Column, Column]:
+    """Bounds of the numbers to fetch: from one past the cursor to the head; without a cursor the last ``first_run``."""
+    head = head.cast("bigint")
+    start = F.greatest(F.lit(0).cast("bigint"), head - (first_run - 1))
+    return F.coalesce(cursor.cast("bigint") + 1, start), head
+
+
+def missing_numbers(
+    df: DataFrame, col: str, width: int = 1_000_000, first: Column | int | None = None, last: Column | int | None = None
+) -> DataFrame:
+    """Every number absent between the smallest and the largest one, or of ``[first, last]``, as ``col``."""
     lo, hi = F.col("gap_start"), F.col("gap_end")
     chunk = 10_000
-    pieces = number_gaps(df, col, width).select(
+    pieces = number_gaps(df, col, width, first, last).select(
         hi.alias("_hi"), F.explode(F.sequence(lo, hi, F.lit(chunk).cast("bigint"))).alias("_lo")
     )
     return pieces.select(

@@ -42,9 +42,12 @@ def known_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataF
     return df.join(keys.select(*on), on, "left_semi")
 
 
-def scalar_key(dim: DataFrame, condition: Column, key: str) -> Column:
-    """Key of the one dimension row meeting ``condition`` as a scalar subquery, NULL if none.
+def scalar_key(dim: DataFrame, condition: Column, key: str, required: bool = False) -> Column:
+    """Key of the one dimension row meeting ``condition`` as a scalar subquery, NULL if none, or an error if ``required``.
 
     Where several rows qualify the smallest key is taken, so the choice is stable.
     """
-    return dim.where(condition).agg(F.min(key)).scalar()
+    found = F.min(key)
+    if required:
+        found = F.coalesce(found, F.raise_error(F.lit(f"no member of the dimension for {key}")).cast(dim.schema[key].dataType))
+    return dim.where(condition).agg(found).scalar()

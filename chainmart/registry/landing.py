@@ -440,6 +440,22 @@ def listing_size(spark, sf_dir):
     )
 
 
+@query(
+    "listing_size_all_pages",
+    f"""
+    WITH {QUOTED}
+    SELECT minute, CAST(count(*) AS BIGINT) AS n_assets FROM quoted GROUP BY minute ORDER BY minute DESC LIMIT 1
+    """,
+)
+def listing_size_all_pages(spark, sf_dir):
+    """Number of assets in the newest listing, over all of its pages."""
+    docs = listing_documents(spark, sf_dir).select(
+        "minute", "page", F.try_parse_json("value").alias("doc"), F.lit("").alias("file_path"), F.lit("").alias("file_name")
+    )
+    sizes = parse_listings(docs, "minute").groupBy("minute").agg(F.sum("n_assets").alias("n_assets"))
+    return sizes.agg(F.max("minute").alias("minute"), F.max_by("n_assets", "minute").alias("n_assets"))
+
+
 @query(
     "scan_ds_partition",
     f"""

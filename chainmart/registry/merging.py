@@ -16,6 +16,7 @@ from ..operators import (
     merge_upsert,
     missing_minutes,
     missing_numbers,
+    to_fetch,
     scalar_key,
 )
 from . import base as b
@@ -314,3 +315,29 @@ def missing_minutes_all(spark, sf_dir):
 )
 def missing_block_numbers(spark, sf_dir):
     return missing_numbers(b.blocks(spark, sf_dir), "block_number")
+
+
+@query(
+    "missing_blocks_to_head",
+    f"""
+    WITH {BLOCK},
+    head AS (SELECT max(block_number) + 25 AS h FROM v_block),
+    runs AS (
+      SELECT 'next' AS run, (SELECT max(block_number) FROM v_block WHERE ts < TIMESTAMP '{START}') + 1 AS lo, h FROM head
+      UNION ALL SELECT 'first', greatest(0, h - 999), h FROM head)
+    SELECT run, n AS block_number FROM (SELECT run, unnest(generate_series(lo, h)) AS n FROM runs)
+    WHERE n NOT IN (SELECT block_number FROM v_block)
+    """,
+)
+def missing_blocks_to_head(spark, sf_dir):
+    """What is to be fetched up to a head that is ahead of all blocks: after a cursor, and in a first run without one."""
+    k = b.blocks(spark, sf_dir)
+    head = k.agg(F.max("block_number") + 25).scalar()
+    cursor = k.where(F.col("ts") < F.lit(START).cast("timestamp_ntz")).agg(F.max("block_number")).scalar()
+    runs = (("next", cursor), ("first", F.lit(None).cast("bigint")))
+    parts = []
+    for name, done in runs:
+        first, last = to_fetch(done, head, 1000)
+        found = missing_numbers(k, "block_number", first=first, last=last)
+        parts.append(found.select(F.lit(name).alias("run"), "block_number"))
+    return parts[0].unionByName(parts[1])
