@@ -2,34 +2,74 @@
 
 A task cuts its texts into words and keeps, for a block of documents, the list of its distinct words and the position
 of each word in that list. Only the lists are joined with the word table, one row for a word and block, so a word that
-is in every text costs one row a block. Decoding joins ids with the id-to-piece table.
+is in every text costs one row a block. Positions stay where they are stored: the ids of a block's words come to them.
+Decoding joins ids with the id-to-piece table, which every task has.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import load_tokenizer, read_table, small_batches, stored, strings, tokenizer_json, utf8
+from .common import load_tokenizer, read_table, small_batches, stored_in_buckets, tokenizer_json, utf8
 
 WORD_BPE = "word_bpe_49k.json"
 #: text and distinct words of a block of documents; a longer text is a block of its own
 BLOCK_BYTES = 16 << 20
 BLOCK_WORDS = 400_000
-OUT_BYTES = 8 << 20
-#: rows of an id-to-piece table that may be broadcast
+#: words that a task puts back at once
+OUT_WORDS = 1 << 20
+#: ids of a vocabulary whose pieces may be broadcast
 MAX_PIECES = 2_000_000
 
+#: how a tokenizer file has to cut words, as ``_Words`` does: fixed values of the format
+RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "decoder": None,
+}
+
 _ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
+def refuse_others(content: str) -> None:
+    """An error for a tokenizer whose texts cannot be cut into words at white space by ``RULES``."""
+    spec = json.loads(content)
+    for name, rule in RULES.items():
+        if spec.get(name) != rule:
+            raise ValueError(f"this tokenizer's {name} is not {rule}")
+    for t in spec.get("added_tokens") or []:
+        if t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"].split() != [t["content"]]:
+            raise ValueError(f"added token {t['content']!r} depends on the white space around it")
+
+
 class _Words(dict):
     """Chunk between white space -> positions of its words in ``seen``, as little-endian int32."""
 
@@ -64,7 +104,7 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
-def split_blocks(docs: DataFrame, key: str, text: str, content) -> DataFrame:
+def split_blocks(docs: DataFrame, key: str, text: str, content, block_bytes: int, block_words: int) -> DataFrame:
     """``block, keys, counts, words, index``: a row for each block of documents."""
     kind = docs.select(key).schema[0].dataType
 
@@ -74,10 +114,11 @@ def split_blocks(docs: DataFrame, key: str, text: str, content) -> DataFrame:
         words, keys, counts, index, size = _Words(tokenizer), [], [], [], 0
 
         def block():
+            own = pa.concat_arrays(keys)
             return pa.RecordBatch.from_pydict(
                 {
                     "block": pa.array([task << 32 | n], pa.int64()),
-                    "keys": pa.array([pa.concat_arrays(keys).to_pylist()], pa.list_(keys[0].type)),
+                    "keys": pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own),
                     "counts": pa.array([counts], pa.list_(pa.int32())),
                     "words": pa.array([list(words.seen)], pa.list_(pa.string())),
                     "index": pa.array([_packed(b"".join(index))], pa.binary()),
@@ -91,7 +132,7 @@ def split_blocks(docs: DataFrame, key: str, text: str, content) -> DataFrame:
                 index.append(at)
                 counts.append(len(at) // 4)
                 size += len(t)
-                if size >= BLOCK_BYTES or len(words.seen) >= BLOCK_WORDS:
+                if size >= block_bytes or len(words.seen) >= block_words:
                     keys.append(b.column(0).slice(begun, i + 1 - begun))
                     begun = i + 1
                     yield block()
@@ -114,33 +155,62 @@ def split_blocks(docs: DataFrame, key: str, text: str, content) -> DataFrame:
     return small_batches(docs).select(F.col(key), F.col(text)).mapInArrow(run, schema)
 
 
-def piece_table(spark: SparkSession, path: str) -> DataFrame:
-    """``id, piece`` of every token of a vocabulary."""
+def pieces_of(path: str) -> list[bytes | None]:
+    """The piece of each id of a vocabulary, by id; its size is bounded, since tasks get all of it."""
     from tokenizers import Tokenizer
 
     vocab = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
-    if len(vocab) > MAX_PIECES:
-        raise ValueError(f"{len(vocab)} pieces; at most {MAX_PIECES} are broadcast")
-    return spark.createDataFrame(
-        pd.DataFrame({"id": list(vocab.values()), "piece": list(vocab)}), "id int, piece string"
-    )
-
-
-def decode(df: DataFrame, pieces: DataFrame, key: str, ids: str = "ids") -> DataFrame:
+    size = max(vocab.values(), default=-1) + 1
+    if size > MAX_PIECES:
+        raise ValueError(f"ids up to {size}; pieces of at most {MAX_PIECES} are broadcast")
+    pieces = [None] * size
+    for piece, i in vocab.items():
+        pieces[i] = piece.encode()
+    return pieces
+
+
+class _Decoder:
+    """The map-side join of ids with their pieces."""
+
+    def __init__(self, pieces: list[bytes | None]):
+        self.pieces = pa.array(pieces, pa.binary())
+        self.known = self.pieces.is_valid().to_numpy(zero_copy_only=False)
+
+    def __call__(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """The pieces of ``ids[offsets[i]:offsets[i + 1]]`` for each i, joined by a space."""
+        known = (ids >= 0) & (ids < len(self.known))
+        known[known] = self.known[ids[known]]
+        if not known.all():
+            offsets = np.concatenate(([0], np.cumsum(known)))[offsets]
+            ids = ids[known]
+        rows = pa.ListArray.from_arrays(offsets.astype(np.int32), self.pieces.take(pa.array(ids)))
+        return pc.binary_join(rows, pa.scalar(b" ", pa.binary())).cast(pa.string())
+
+
+def decode(df: DataFrame, path: str, key: str, ids: str = "ids") -> DataFrame:
     """``key, decoded``: the pieces of each row's ids, joined by a space; ids without a piece are passed over.
 
-    ``key`` is unique and not null. A row without ids, or with null, has no row in the result. ``pieces`` is a
-    vocabulary's table, whose size ``piece_table`` bounds, so it is broadcast and ``df`` is not shuffled for it.
+    One row for each of ``df``, whatever its key; no ids, or null, decode to an empty string. The id-to-piece table goes
+    to the tasks (``pieces_of`` bounds it) and is joined there, so ``df`` is not shuffled.
     """
-    found = df.select(key, F.posexplode(ids).alias("_pos", "id")).join(F.broadcast(pieces), "id")
-    sorted_pieces = F.array_sort(F.collect_list(F.struct("_pos", "piece")))
-    return found.groupBy(key).agg(
-        F.array_join(F.transform(sorted_pieces, lambda p: p["piece"]), " ").alias("decoded")
-    )
+    pieces = df.sparkSession.sparkContext.broadcast(pieces_of(path))
+    kind = df.select(key).schema[0].dataType
 
+    def run(batches):
+        joined = _Decoder(pieces.value)
+        for b in batches:
+            lists = b.column(1).fill_null([])
+            flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+            offsets = lists.offsets.to_numpy()
+            yield pa.RecordBatch.from_arrays([b.column(0), joined(flat, offsets - offsets[0])], ["key", "decoded"])
 
-def word_table(words: DataFrame, content, pieces: DataFrame) -> DataFrame:
-    """``word, ids, decoded`` of every distinct word, encoded once."""
+    schema = T.StructType([T.StructField("key", kind), T.StructField("decoded", T.StringType())])
+    rows = small_batches(df).select(F.col(key), F.col(ids).cast("array<int>"))
+    return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
+
+
+def word_table(words: DataFrame, content) -> DataFrame:
+    """``word, ids`` of every distinct word, encoded once."""
 
     @F.pandas_udf("array<int>")
     def encode(batches: pd.Series) -> pd.Series:
@@ -149,82 +219,66 @@ def word_table(words: DataFrame, content, pieces: DataFrame) -> DataFrame:
         whole = lambda w: tokenizer.encode(w[1:], add_special_tokens=False).ids
         return pd.Series([whole(w) if w[0] == " " else [t.id for t in model(w)] for w in batches])
 
-    table = words.select("word").distinct().withColumn("ids", encode("word"))
-    return table.join(decode(table, pieces, "word"), "word", "left")
-
-
-def _restore(key_type: pa.DataType):
-    """Over rows sorted by (block, pos), a block's dictionary before its documents."""
-
-    def documents(ids, decoded, keys, counts, index):
-        flat = np.concatenate([x.flatten().to_numpy(zero_copy_only=False) for x in ids] or [np.zeros(0, np.int32)])
-        lens = np.concatenate([np.diff(x.offsets.to_numpy()) for x in ids] or [np.zeros(0, np.int32)]).astype(np.int64)
-        starts = np.cumsum(lens) - lens
-        pieces = [p for x in decoded for p in utf8(x)]
-        bare = bool((lens == 0).any())
-        where, at, rows, size = _unpacked(index), 0, [], 0
-        for n, (k, c) in enumerate(zip(keys, counts), 1):
-            w = where[at : at + c]
-            at += c
-            if bare:
-                w = w[lens[w] > 0]
+    return words.select("word").distinct().withColumn("ids", encode("word"))
+
+
+def _restore(pieces):
+    """Documents of one block, from the ids of its words and the positions of the words in its documents."""
+
+    def run(words: pa.Table, block: pa.Table) -> pa.Table:
+        at_word = words.column("pos").to_numpy()
+        ids = words.column("ids").combine_chunks()
+        flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+        ends = ids.offsets.to_numpy().astype(np.int64)
+        starts, lens = np.zeros(len(at_word), np.int64), np.zeros(len(at_word), np.int64)
+        starts[at_word], lens[at_word] = ends[:-1] - ends[0], np.diff(ends)
+        keys = block.column("keys").combine_chunks().flatten()
+        counts = block.column("counts").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        where = _unpacked(block.column("index")[0].as_py())
+        joined = _Decoder(pieces.value)
+        firsts = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+        out, begun = [], 0
+        while begun < len(counts):
+            # whole documents up to so many words at once
+            end = max(begun + 1, int(np.searchsorted(firsts, firsts[begun] + OUT_WORDS, "right")) - 1)
+            w = where[firsts[begun] : firsts[end]]
             own = lens[w]
-            total = int(own.sum())
-            place = np.repeat(starts[w] - (np.cumsum(own) - own), own) + np.arange(total)
-            rows.append((k, flat[place], b" ".join([pieces[i] for i in w.tolist()])))
-            size += len(rows[-1][2]) + 64
-            if size >= OUT_BYTES or n == len(keys):
-                k, own, text = zip(*rows)
-                offsets = np.concatenate(([0], np.cumsum([len(x) for x in own]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(k, key_type),
-                        pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(own), pa.int32())),
-                        strings(list(text)),
-                    ],
-                    ["key", "ids", "decoded"],
-                )
-                rows, size = [], 0
-
-    def run(batches):
-        ids, decoded = [], []
-        for b in batches:
-            begun = 0
-            for i in np.flatnonzero(b.column(1).is_null().to_numpy(zero_copy_only=False)).tolist():
-                part = b.slice(begun, i - begun)
-                ids.append(part.column(2))
-                decoded.append(part.column(3))
-                last = [b.column(c)[i].as_py() for c in (4, 5, 6)]
-                yield from documents(ids, decoded, *last)
-                ids, decoded, begun = [], [], i + 1
-            if begun < b.num_rows:
-                ids.append(b.column(2).slice(begun))
-                decoded.append(b.column(3).slice(begun))
+            before = np.concatenate(([0], np.cumsum(own)))
+            found = flat[np.repeat(starts[w] - before[:-1], own) + np.arange(before[-1])]
+            offsets = before[firsts[begun : end + 1] - firsts[begun]]
+            lists = pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(found, pa.int32()))
+            rows = [keys.slice(begun, end - begun), lists, joined(found, offsets)]
+            out.append(pa.RecordBatch.from_arrays(rows, ["key", "ids", "decoded"]))
+            begun = end
+        return pa.Table.from_batches(out)
 
     return run
 
 
 def encode_decode(
-    docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    path: str | None = None,
+    key: str = "doc_id",
+    text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+    block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """``key, ids, decoded`` of every document, as the tokenizer at ``path`` encodes and decodes it.
 
-    For tokenizers that drop white space between words (no decoder, no post-processor). A null text is empty; empty
+    For tokenizers that cut words as ``RULES`` says and have no decoder; others are refused. A null text is empty; empty
     texts have no ids and decode to an empty string. Rows with null or repeated keys keep their number. Texts of any
     length are taken whole. Other columns are ignored.
     """
     spark = docs.sparkSession
     path = path or public_tokenizers.path(WORD_BPE)
-    content = spark.sparkContext.broadcast(tokenizer_json(path))
-    blocks = stored(split_blocks(docs, key, text, content), "bpe-blocks")
-    # one shuffle by word serves the table of distinct words and the join with it
-    words = blocks.select("block", F.posexplode("words").alias("pos", "word")).repartition("word")
-    entries = words.join(word_table(words, content, piece_table(spark, path)), "word").select(
-        "block", "pos", "ids", F.coalesce("decoded", F.lit("")).alias("decoded")
-    )
-    documents = blocks.select("block", F.lit(None).cast("int").alias("pos"), "keys", "counts", "index")
-    rows = entries.unionByName(documents, allowMissingColumns=True)
-    rows = rows.repartition("block").sortWithinPartitions("block", F.col("pos").asc_nulls_last())
+    content = tokenizer_json(path)
+    refuse_others(content)
+    content, pieces = spark.sparkContext.broadcast(content), spark.sparkContext.broadcast(pieces_of(path))
+    # in buckets, so that the positions, which are most of it, are not shuffled once more to meet their words
+    blocks = stored_in_buckets(split_blocks(docs, key, text, content, block_bytes, block_words), "bpe-blocks", "block")
+    words = blocks.select("block", F.posexplode("words").alias("pos", "word"))
+    # the size of the table of words is not known before it is made: it is merged, never broadcast
+    found = words.join(word_table(words, content).hint("merge"), "word").select(F.col("block").alias("of"), "pos", "ids")
     kind = docs.select(key).schema[0].dataType
     schema = T.StructType(
         [
@@ -233,8 +287,9 @@ def encode_decode(
             T.StructField("decoded", T.StringType()),
         ]
     )
-    restore = _restore(docs.select(key).limit(0).toArrow().schema.field(0).type)
-    return rows.mapInArrow(restore, schema).withColumnRenamed("key", key)
+    parts = blocks.select("block", "keys", "counts", "index").groupBy("block")
+    rows = found.groupBy("of").cogroup(parts).applyInArrow(_restore(pieces), schema)
+    return rows.withColumnRenamed("key", key)
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,6 +34,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_in_buckets(df: DataFrame, label: str, key: str) -> DataFrame:
+    """``stored``, in as many buckets of ``key`` as the session has shuffle partitions.
+
+    What is grouped or joined by ``key`` comes to these rows, and they are not shuffled. The table's name leaves the
+    catalog at once; its files stay, as those of ``stored`` do.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, label)
+    name = "bucketed_" + path.rsplit("-", 1)[1]
+    write = df.write.option("compression", "zstd").option("path", path)
+    write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).saveAsTable(name, format="parquet")
+    rows = spark.table(name)
+    rows.schema  # resolved here, while the name is known
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 def numbered_rows(df: DataFrame) -> DataFrame:
     """``row, own``: a number for each row beside the row itself, whose columns may have any names.
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from chainmart.llm import bpe, token_files
@@ -53,3 +54,35 @@ def test_registered_op1(spark):
         ids = t.encode(text, add_special_tokens=False).ids
         want[key, len(ids), sha(" ".join(map(str, ids))), sha(t.decode(ids, skip_special_tokens=False))] += 1
     assert Counter(map(tuple, bpe.op1_bpe(spark, SF).collect())) == want
+
+
+def test_bpe_in_many_blocks(spark):
+    """Blocks that end at a few bytes or words, and one document longer than any block."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    texts = [(n, "".join(PIECES[(n * k * k + k) % len(PIECES)] for k in range(n % 40))) for n in range(300)]
+    texts += [(None, None), (7, "a word " * 50_000 + "日本"), (8, "")]
+    want = Counter()
+    for key, text in texts:
+        ids = t.encode(text or "", add_special_tokens=False).ids
+        want[key, tuple(ids), t.decode(ids, skip_special_tokens=False)] += 1
+    df = spark.createDataFrame(texts, "own long, body string")
+    for most in ({}, {"block_bytes": 100}, {"block_words": 20}):
+        out = bpe.encode_decode(df, path, "own", "body", **most)
+        assert out.columns == ["own", "ids", "decoded"]
+        assert Counter((k, tuple(i), d) for k, i, d in out.collect()) == want
+
+
+def test_bpe_decode(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    rows = [(1, [320, 49407, 5]), (1, []), (None, None), (2, [10**6, -1, 320, None, 49406])]
+    got = bpe.decode(spark.createDataFrame(rows, "k long, i array<int>"), path, "k", "i").collect()
+    whole = lambda ids: t.decode(ids, skip_special_tokens=False)
+    assert [tuple(r) for r in got] == [(1, whole([320, 49407, 5])), (1, ""), (None, ""), (2, whole([320, 49406]))]
+
+
+def test_bpe_refuses_other_cuts(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="normalizer"):
+        bpe.encode_decode(df, PATH)
