@@ -1,8 +1,8 @@
 """BPE over a distinct-word table: each word is encoded once, its ids are joined back by position.
 
 A task cuts its texts into words and keeps, for a block of documents, the list of its distinct words and the position
-of each word in that list. Only the lists are joined with the word table, one row for a word and block, so a word that
-is in every text costs one row a block. Positions stay where they are stored: the ids of a block's words come to them.
+of each word in that list. Only the lists are shuffled by word, one row for a word and block, so a word that is in every
+text costs one row a block; sorted, they are the table of distinct words, each encoded once. Positions stay where they are stored: the ids of a block's words come to them.
 Decoding joins ids with the id-to-piece table, which every task has.
 """
 
@@ -12,7 +12,6 @@ import json
 import re
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,7 +23,7 @@ from .common import load_tokenizer, read_table, small_batches, stored_in_buckets
 
 WORD_BPE = "word_bpe_49k.json"
 #: text and distinct words of a block of documents; a longer text is a block of its own
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 BLOCK_WORDS = 400_000
 #: words that a task puts back at once
 OUT_WORDS = 1 << 20
@@ -209,29 +208,44 @@ def decode(df: DataFrame, path: str, key: str, ids: str = "ids") -> DataFrame:
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
-def word_table(words: DataFrame, content) -> DataFrame:
-    """``word, ids`` of every distinct word, encoded once."""
-
-    @F.pandas_udf("array<int>")
-    def encode(batches: pd.Series) -> pd.Series:
-        tokenizer = load_tokenizer(content.value)
-        model = tokenizer.model.tokenize
-        whole = lambda w: tokenizer.encode(w[1:], add_special_tokens=False).ids
-        return pd.Series([whole(w) if w[0] == " " else [t.id for t in model(w)] for w in batches])
-
-    return words.select("word").distinct().withColumn("ids", encode("word"))
+def encoded(words: DataFrame, content, width: str) -> DataFrame:
+    """``of, pos, ids`` of ``block, pos, word``: the ids of the word in each place, as numbers of type ``width``.
 
+    Equal words meet and stand together, so that the first of them is encoded and the others take its ids. No block has
+    a word twice: the commonest word has one row a block, as thousands of others do.
+    """
 
-def _restore(pieces):
+    def run(batches):
+        tokenizer = load_tokenizer(content.value)
+        model, last, found = tokenizer.model.tokenize, None, b""
+        for b in batches:
+            ids = []
+            for word in b.column(2).to_pylist():
+                if word != last:
+                    last = word
+                    if word[0] == " ":
+                        found = tokenizer.encode(word[1:], add_special_tokens=False).ids
+                    else:
+                        found = [t.id for t in model(word)]
+                    found = np.array(found, width).tobytes()
+                ids.append(found)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], ["of", "pos", "ids"])
+
+    together = words.select("block", "pos", "word").repartition("word").sortWithinPartitions("word")
+    return together.mapInArrow(run, "of long, pos int, ids binary")
+
+
+def _restore(pieces, width: str):
     """Documents of one block, from the ids of its words and the positions of the words in its documents."""
 
     def run(words: pa.Table, block: pa.Table) -> pa.Table:
         at_word = words.column("pos").to_numpy()
-        ids = words.column("ids").combine_chunks()
-        flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-        ends = ids.offsets.to_numpy().astype(np.int64)
+        ids = words.column("ids")
+        flat = np.frombuffer(b"".join(ids.to_pylist()), width).astype(np.int32)
+        ends = np.cumsum(pc.binary_length(ids).to_numpy(), dtype=np.int64) // np.dtype(width).itemsize
         starts, lens = np.zeros(len(at_word), np.int64), np.zeros(len(at_word), np.int64)
-        starts[at_word], lens[at_word] = ends[:-1] - ends[0], np.diff(ends)
+        lens[at_word] = np.diff(ends, prepend=0)
+        starts[at_word] = ends - lens[at_word]
         keys = block.column("keys").combine_chunks().flatten()
         counts = block.column("counts").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         where = _unpacked(block.column("index")[0].as_py())
@@ -273,12 +287,13 @@ def encode_decode(
     path = path or public_tokenizers.path(WORD_BPE)
     content = tokenizer_json(path)
     refuse_others(content)
-    content, pieces = spark.sparkContext.broadcast(content), spark.sparkContext.broadcast(pieces_of(path))
+    by_id = pieces_of(path)
+    content, pieces = spark.sparkContext.broadcast(content), spark.sparkContext.broadcast(by_id)
+    width = "<u2" if len(by_id) <= 1 << 16 else "<u4"
     # in buckets, so that the positions, which are most of it, are not shuffled once more to meet their words
     blocks = stored_in_buckets(split_blocks(docs, key, text, content, block_bytes, block_words), "bpe-blocks", "block")
     words = blocks.select("block", F.posexplode("words").alias("pos", "word"))
-    # the size of the table of words is not known before it is made: it is merged, never broadcast
-    found = words.join(word_table(words, content).hint("merge"), "word").select(F.col("block").alias("of"), "pos", "ids")
+    found = encoded(words, content, width)
     kind = docs.select(key).schema[0].dataType
     schema = T.StructType(
         [
@@ -288,7 +303,7 @@ def encode_decode(
         ]
     )
     parts = blocks.select("block", "keys", "counts", "index").groupBy("block")
-    rows = found.groupBy("of").cogroup(parts).applyInArrow(_restore(pieces), schema)
+    rows = found.groupBy("of").cogroup(parts).applyInArrow(_restore(pieces, width), schema)
     return rows.withColumnRenamed("key", key)
 
 
