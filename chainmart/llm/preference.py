@@ -6,7 +6,7 @@ in each becomes a completion in which only the assistant's turns are trained on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import read_table
 
@@ -65,16 +65,35 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
     )
 
 
-def op7_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring conversations as pairs: the even id is chosen, the odd one after it rejected."""
-    turns = read_table(spark, sf_dir, "conversations").where(F.col("conv_id").isNotNull())
-    turns = turns.select(
-        F.expr("cast(floor(conv_id / 2) AS bigint)").alias("pair"),
-        F.when(F.pmod("conv_id", F.lit(2)) == 0, "chosen").otherwise("rejected").alias("side"),
-        "turn",
-        "role",
-        "text",
+def with_other_answers(turns: DataFrame, span: int = 20) -> DataFrame:
+    """``pair, side, turn, role, text``: each conversation as chosen, and with another's last answer as rejected.
+
+    Of ``conv_id, turn, role, text``. The last assistant's turn of a conversation takes the text of that of the next
+    conversation among the ``span`` ids from a multiple of ``span`` on, the last one that of the first; alone there, an
+    empty text. A conversation without an assistant's turn is rejected as it is. Of repeated rows of a turn the smallest
+    (role, text), null first, counts. A null turn number is no turn; rows with a null id are one conversation.
+    """
+    rows = turns.where(F.col("turn").isNotNull()).groupBy("conv_id", "turn")
+    rows = rows.agg(F.min(F.struct("role", "text")).alias("x")).select("conv_id", "turn", "x.*")
+    answers = rows.where(F.col("role") == TRAINED).groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("x"))
+    # one row for a conversation: at most span rows in a window
+    near = Window.partitionBy(F.col("conv_id") - F.pmod("conv_id", F.lit(span))).orderBy("conv_id")
+    alone = F.count("*").over(near.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) == 1
+    other = F.coalesce(F.lead("x").over(near), F.first("x").over(near))["text"]
+    answers = answers.select(
+        F.col("conv_id").alias("of"), F.col("x.turn").alias("last"), F.when(~alone, other).otherwise("").alias("other")
+    )
+    both = rows.join(answers, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    swapped = F.when(F.col("turn") == F.col("last"), F.col("other")).otherwise(F.col("text"))
+    sides = F.array(
+        F.struct(F.lit("chosen").alias("side"), F.col("text")), F.struct(F.lit("rejected").alias("side"), swapped.alias("text"))
     )
+    return both.select(F.col("conv_id").alias("pair"), "turn", "role", F.inline(sides))
+
+
+def op7_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, chosen as it is and rejected with the last answer of another."""
+    turns = with_other_answers(read_table(spark, sf_dir, "conversations"))
     join = lambda m: F.array_join(F.transform(m, lambda x: x.cast("int").cast("string")), "")
     return preference_pairs(turns).select(
         "pair",
@@ -89,19 +108,26 @@ def op7_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH t AS (
-  SELECT conv_id // 2 AS pair, conv_id % 2 AS odd, turn,
-         min({'a': role IS NOT NULL, 'r': role, 'b': text IS NOT NULL, 't': text}) AS x
-  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+  SELECT conv_id, turn, min({'a': role IS NOT NULL, 'r': role, 'b': text IS NOT NULL, 't': text}) AS x
+  FROM conversations WHERE turn IS NOT NULL GROUP BY ALL),
+l AS (
+  SELECT conv_id, max(turn) AS last, arg_max(x, turn) AS x FROM t WHERE x.r = 'assistant' GROUP BY ALL),
+o AS (
+  SELECT conv_id, last, CASE WHEN count(*) OVER (PARTITION BY conv_id - (conv_id % 20 + 20) % 20) = 1 THEN ''
+    ELSE coalesce(lead(x) OVER w, first(x) OVER w).t END AS other
+  FROM l WINDOW w AS (PARTITION BY conv_id - (conv_id % 20 + 20) % 20 ORDER BY conv_id)),
 b AS (
-  SELECT pair, turn, max(x) FILTER (odd = 0) AS c, max(x) FILTER (odd = 1) AS r FROM t GROUP BY ALL),
+  SELECT t.conv_id AS pair, t.turn, t.x AS c,
+         CASE WHEN t.turn = o.last THEN {'a': t.x.a, 'r': t.x.r, 'b': o.other IS NOT NULL, 't': o.other}
+         ELSE t.x END AS r
+  FROM t LEFT JOIN o ON t.conv_id IS NOT DISTINCT FROM o.conv_id),
 k AS (
-  SELECT pair, min(turn) FILTER (c IS DISTINCT FROM r) AS cut FROM b GROUP BY ALL
-  HAVING count(c) > 0 AND count(r) > 0),
+  SELECT pair, min(turn) FILTER (c IS DISTINCT FROM r) AS cut FROM b GROUP BY ALL),
 s AS (
-  SELECT pair, turn, turn < coalesce(cut, turn + 1) AS shared, c, r,
+  SELECT b.pair, turn, turn < coalesce(cut, turn + 1) AS shared, c, r,
          '<|' || coalesce(c.r, '') || '|>' || chr(10) || coalesce(c.t, '') || chr(10) AS ct,
          '<|' || coalesce(r.r, '') || '|>' || chr(10) || coalesce(r.t, '') || chr(10) AS rt
-  FROM b JOIN k USING (pair))
+  FROM b JOIN k ON b.pair IS NOT DISTINCT FROM k.pair)
 SELECT pair,
        coalesce(string_agg(ct, '' ORDER BY turn) FILTER (shared), '') AS prompt,
        count(*) FILTER (shared) AS n_prompt,
