@@ -25,6 +25,8 @@ WORD_BPE = "word_bpe_49k.json"
 #: text and distinct words of a block of documents; a longer text is a block of its own
 BLOCK_BYTES = 32 << 20
 BLOCK_WORDS = 400_000
+#: chunks whose words a task remembers; all are forgotten beyond it, and cut again when they come again
+CACHED_CHUNKS = 100_000
 #: words that a task puts back at once
 OUT_WORDS = 1 << 20
 #: ids of a vocabulary whose pieces may be broadcast
@@ -88,6 +90,8 @@ class _Words(dict):
         else:
             words = [w for w, _ in self.cut(self.normal(text))]
         at = [self.seen.setdefault(w, len(self.seen)) for w in words]
+        if len(self) >= CACHED_CHUNKS:
+            self.clear()
         self[chunk] = found = np.array(at, "<i4").tobytes()
         return found
 
@@ -137,6 +141,7 @@ def split_blocks(docs: DataFrame, key: str, text: str, content, block_bytes: int
                     yield block()
                     n += 1
                     words, keys, counts, index, size = _Words(tokenizer), [], [], [], 0
+                    pa.default_memory_pool().release_unused()
             if begun < b.num_rows:
                 keys.append(b.column(0).slice(begun))
         if counts:
@@ -239,6 +244,7 @@ def _restore(pieces, width: str):
     """Documents of one block, from the ids of its words and the positions of the words in its documents."""
 
     def run(words: pa.Table, block: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         at_word = words.column("pos").to_numpy()
         ids = words.column("ids")
         flat = np.frombuffer(b"".join(ids.to_pylist()), width).astype(np.int32)
