@@ -8,6 +8,7 @@ are trained on some labelled rows, threshold and fit are calibrated on others.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import LOWER, own_columns, read_table, small_batches, utf8
+from .common import LOWER, kept_by_worker, own_columns, read_table, small_batches, utf8
 
 #: remainder of the key's checksum modulo 4: never learnt from; calibrated on; the rest trains
 HELD_OUT, CALIBRATE = 2, 3
@@ -40,7 +41,7 @@ LEAD = b"0" * 32
 TAIL = b"0" * 16
 THRESHOLDS = range(1, 8)
 PREDICT_AT = 0.3
-#: distances of distinct windows kept by a task
+#: distances of distinct windows kept by a worker, for its next tasks too
 CACHE = 300_000
 
 
@@ -74,8 +75,13 @@ class Distance(dict):
     def __init__(self, toxic: bytes, ordinary: bytes, level: int = LEVEL):
         super().__init__()
         options = dict(level=level, write_content_size=False, write_checksum=False, write_dict_id=False)
-        make = lambda d: zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d), **options)
-        self.toxic, self.ordinary = make(toxic).compress, make(ordinary).compress
+
+        def make(content: bytes):
+            dictionary = zstandard.ZstdCompressionDict(content)
+            dictionary.precompute_compress(level=level)  # digested once, not for every window
+            return zstandard.ZstdCompressor(dict_data=dictionary, **options).compress
+
+        self.toxic, self.ordinary = make(toxic), make(ordinary)
 
     def __missing__(self, window: bytes) -> int:
         if len(self) >= CACHE:
@@ -199,7 +205,8 @@ def score(docs: DataFrame, model: dict, text: str = "text", into: str = "score")
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = sent.value
-        of = Distance(m["toxic"], m["ordinary"])
+        name = f"distance-{zlib.crc32(m['toxic'])}-{zlib.crc32(m['ordinary'])}-{len(m['toxic'])}-{len(m['ordinary'])}"
+        of = kept_by_worker(name, lambda: Distance(m["toxic"], m["ordinary"]))
         steps, values = np.array(m["steps"]), np.array(m["scores"])
         for texts in batches:
             found = utf8(pa.array(texts, pa.string(), from_pandas=True))
