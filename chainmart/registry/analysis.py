@@ -289,7 +289,11 @@ MEASURES = [
 
 @query("describe_measures", f"WITH {BUCKETS} " + " UNION ALL ".join(MEASURES))
 def describe_measures(spark, sf_dir):
-    out = describe(_buckets(spark, sf_dir), AVERAGES)
+    buckets = _buckets(spark, sf_dir).select(*AVERAGES).persist()
+    try:
+        out = describe(buckets, AVERAGES)
+    finally:
+        buckets.unpersist()
     return rounded(out, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -310,6 +314,24 @@ def describe_lineitem(spark, sf_dir):
     return rounded(out, "value")
 
 
+RAW = ["l_extendedprice", "l_quantity", "l_discount"]
+
+
+@query(
+    "describe_lineitem_summary",
+    " UNION ALL ".join(
+        f"""SELECT '{m}' AS measure, count({m}) AS count, round(avg({m}), 4) AS mean, round(stddev_samp({m}), 4) AS std,
+               round(min({m}), 4) AS min, round(quantile_cont({m}, 0.25), 4) AS p25, round(quantile_cont({m}, 0.5), 4) AS p50,
+               round(quantile_cont({m}, 0.75), 4) AS p75, round(max({m}), 4) AS max FROM lineitem"""
+        for m in RAW
+    ),
+)
+def describe_lineitem_summary(spark, sf_dir):
+    """Count, mean, deviation, extremes and exact quartiles of raw measures."""
+    out = describe(b.table(spark, sf_dir, "lineitem"), RAW)
+    return out.select("measure", "count", *[F.round(c, 4).alias(c) for c in out.columns[2:]])
+
+
 @query(
     "regression_line",
     f"""

@@ -101,17 +101,41 @@ def spread(kind, n):
     return [rnd.lognormvariate(0, 6) for _ in range(n)]
 
 
+PROBS = (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)
+
+
+def quantiles_of(spark, values):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(6)
+    return {r["p"]: r["value"] for r in op.exact_quantiles(df, ["v"], PROBS).collect()}
+
+
 @pytest.mark.parametrize("kind", ["uniform", "hot", "heavy"])
-@pytest.mark.parametrize("n, accuracy", [(1, 100), (2, 100), (7, 100), (1000, 100), (20000, 200)])
-def test_exact_quantiles(spark, kind, n, accuracy):
+@pytest.mark.parametrize("n", [1, 2, 7, 1000, 20000])
+def test_exact_quantiles(spark, kind, n):
     values = spread(kind, n)
-    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(6)
-    probs = (0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0)
-    got = {r["p"]: r["value"] for r in op.exact_quantiles(df, ["v"], probs, accuracy).collect()}
-    for p in probs:
+    got = quantiles_of(spark, values)
+    for p in PROBS:
         assert got[p] == pytest.approx(float(np.quantile(values, p)), rel=1e-9), p
 
 
+@pytest.mark.parametrize("buckets", [2, 3])
+def test_exact_quantiles_through_many_passes(spark, monkeypatch, buckets):
+    monkeypatch.setattr("chainmart.operators.stats.BUCKETS", buckets)
+    values = spread("uniform", 60) + [0.25] * 200
+    got = quantiles_of(spark, values)
+    assert got == pytest.approx({p: float(np.quantile(values, p)) for p in PROBS}, rel=1e-9)
+
+
+def test_exact_quantiles_of_extreme_values(spark):
+    tiny, huge = 5e-324, 1.7e308
+    got = quantiles_of(spark, [-huge, huge, tiny, 0.0, 2 * tiny])
+    assert (got[0.0], got[0.25], got[0.5], got[0.75], got[1.0]) == (-huge, 0.0, tiny, 2 * tiny, huge)
+    inf, nan = float("inf"), float("nan")
+    got = quantiles_of(spark, [-inf, 1.0, 2.0, inf, nan])
+    assert (got[0.0], got[0.25], got[0.5], got[0.75]) == (-inf, 1.0, 2.0, inf) and np.isnan(got[1.0])
+    assert quantiles_of(spark, []) == {}
+
+
 def test_describe(spark):
     values = spread("uniform", 500)
     df = spark.createDataFrame([(v, 3.0) for v in values], "a double, b double")
