@@ -58,14 +58,28 @@ def merge_upsert(
     updates of one key in one batch resolve column by column, exactly as if
     the statements had run in sequence. A missing target counts as empty.
     """
+    cols = [c for c in updates.columns if c not in order] if target is None else target.columns
+    by_policy = policy_columns(cols, keys, policies)
+    merged = _reduced(_stack(target, updates, order, cols), keys, by_policy)
+    place = {c: F.col(f"_replaced.{c}") for c in by_policy[REPLACE]}
+    place.update({c: F.col(f"_inserted.{c}") for c in by_policy[SET_ON_INSERT]})
+    return merged.select(*[place.get(c, F.col(c)).alias(c) for c in cols])
+
+
+def policy_columns(
+    cols: Sequence[str], keys: Sequence[str], policies: Mapping[str, str] | None
+) -> dict[str, list[str]]:
+    """The columns that are merged by each policy; those not named are replaced."""
     policies = dict(policies or {})
     unknown = set(policies.values()) - set(_POLICIES)
     if unknown:
         raise ValueError(f"unknown merge policies: {sorted(unknown)}")
-    cols = [c for c in updates.columns if c not in order] if target is None else target.columns
     measures = [c for c in cols if c not in keys]
-    by_policy = {p: [c for c in measures if policies.get(c, REPLACE) == p] for p in _POLICIES}
-    stacked = _stack(target, updates, order, cols)
+    return {p: [c for c in measures if policies.get(c, REPLACE) == p] for p in _POLICIES}
+
+
+def _reduced(stacked: DataFrame, keys: Sequence[str], by_policy: Mapping[str, Sequence[str]]) -> DataFrame:
+    """One row per key: ``_replaced`` and ``_inserted`` hold the columns of these policies, the others are plain."""
     aggs: list[Column] = []
     if by_policy[REPLACE]:
         aggs.append(F.max_by(F.struct(*by_policy[REPLACE]), "_ord").alias("_replaced"))
@@ -74,10 +88,15 @@ def merge_upsert(
     for c in by_policy[KEEP_IF_NULL]:
         # ordering by NULL excludes the row, which leaves the last non-null value
         aggs.append(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_ord"))).alias(c))
-    merged = stacked.groupBy(*keys).agg(*aggs) if aggs else stacked.select(*keys).distinct()
-    place = {c: F.col(f"_replaced.{c}") for c in by_policy[REPLACE]}
-    place.update({c: F.col(f"_inserted.{c}") for c in by_policy[SET_ON_INSERT]})
-    return merged.select(*[place.get(c, F.col(c)).alias(c) for c in cols])
+    return stacked.groupBy(*keys).agg(*aggs) if aggs else stacked.select(*keys).distinct()
+
+
+def reduce_updates(
+    updates: DataFrame, keys: Sequence[str], order: Sequence[str], by_policy: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """What the updates of each key come to in ``order``, without the rows that they are to change."""
+    cols = [*keys, *[c for some in by_policy.values() for c in some]]
+    return _reduced(_stack(None, updates, order, cols), keys, by_policy)
 
 
 def insert_if_absent(

@@ -19,6 +19,8 @@ from ..operators import (
     to_fetch,
     scalar_key,
 )
+from ..plans.keyed import KeyedTable
+from ..session import shared_dir
 from . import base as b
 from .base import BLOCK, CANDLE, END, SNAPSHOT, START, query
 
@@ -35,6 +37,7 @@ REST = [
 ]
 ORDER = ["l_shipdate", *REST]
 CUT = "1998-07-01 00:00:00"
+MARK = "1999-01-01 00:00:00"
 COLS = ", ".join([*KEYS, "l_shipdate", *REST])
 KEY_SQL = ", ".join(KEYS)
 LAST = ", ".join(f"{c} DESC NULLS LAST" for c in ORDER)
@@ -111,6 +114,40 @@ def upsert_coalesce(spark, sf_dir):
     return merge_upsert(target, updates, KEYS, order, {"flag": "keep_if_null"})
 
 
+@query(
+    "upsert_keyed_table",
+    f"""
+    WITH {SPLIT},
+    flagged AS (
+      SELECT *, CASE WHEN batch = 0 THEN l_returnflag ELSE nullif(l_returnflag, 'N') END AS flag FROM stacked),
+    last AS (
+      SELECT * FROM flagged
+      QUALIFY row_number() OVER (PARTITION BY {KEY_SQL} ORDER BY batch DESC, {LAST}) = 1),
+    known AS (
+      SELECT {KEY_SQL}, flag FROM flagged WHERE flag IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY {KEY_SQL} ORDER BY batch DESC, {LAST}) = 1),
+    first AS (
+      SELECT {KEY_SQL}, l_shipdate AS born FROM flagged
+      QUALIFY row_number() OVER (PARTITION BY {KEY_SQL} ORDER BY batch, {FIRST}) = 1)
+    SELECT {KEY_SQL}, last.l_extendedprice, last.l_quantity, known.flag, born
+    FROM last JOIN first USING ({KEY_SQL}) LEFT JOIN known USING ({KEY_SQL})
+    """,
+)
+def upsert_keyed_table(spark, sf_dir):
+    """Three batches into a table cut by key, the last of them twice: only updates are shuffled."""
+    target, updates = _split(spark, sf_dir)
+    table = KeyedTable(spark, shared_dir(spark, "keyed"), KEYS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    columns = [*KEYS, "l_extendedprice", "l_quantity", "flag", "born", *[f"_by_{c}" for c in ORDER]]
+    policies = {"flag": "keep_if_null", "born": "set_on_insert"}
+    middle = F.col("l_shipdate") < at(MARK)
+    flag = F.col("l_returnflag")
+    parts = [(target, flag)] + [(updates.where(w), F.nullif(flag, F.lit("N"))) for w in (middle, ~middle, ~middle)]
+    for rows, known in parts:
+        ordered, order = _with_order(rows.withColumns({"flag": known, "born": F.col("l_shipdate")}))
+        table.merge(ordered.select(columns), order, policies)
+    return table.read()
+
+
 @query(
     "insert_if_absent",
     f"""
@@ -173,9 +210,6 @@ def upsert_set_on_insert(spark, sf_dir):
     return merged.drop("fields_present")
 
 
-MARK = "1999-01-01 00:00:00"
-
-
 @query("incremental_scan_by_mark", f"SELECT {COLS} FROM lineitem WHERE l_shipdate > TIMESTAMP '{MARK}'")
 def incremental_scan_by_mark(spark, sf_dir):
     return incremental_scan(b.table(spark, sf_dir, "lineitem"), {"l_shipdate": at(MARK)})
