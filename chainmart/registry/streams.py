@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import at
 from ..session import shared_dir
 from ..sources import parse_candles, scan_jsonl
-from ..streaming import dedupe_stream, land_stream, run_once, tumbling_averages, upsert_into
+from ..streaming import dedupe_into, dedupe_stream, land_stream, run_once, tumbling_averages, upsert_into
 from . import base as b
 from .base import BLOCK, NOW, query, r6
 from .landing import DS, LINES, SCANNED, candle_lines, written
@@ -95,3 +95,14 @@ def stream_dedupe(spark, sf_dir):
     out = shared_dir(spark, "distinct")
     land_stream(dedupe_stream(stream, ["event_id"]), out, shared_dir(spark, "distinct-checkpoint"))
     return spark.read.parquet(out)
+
+
+@query("stream_dedupe_stored", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def stream_dedupe_stored(spark, sf_dir):
+    """Every event delivered twice, in batches with late rows, told apart by the table that is written: no state."""
+    events = b.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    stream = _batches(spark, events, times=2)
+    out = shared_dir(spark, "distinct")
+    append = dedupe_into(out, ["event_id"], ["ts", "user_id", "event_type", "value"], "events")
+    run_once(stream.writeStream.foreachBatch(append), shared_dir(spark, "distinct-checkpoint"))
+    return spark.read.parquet(out).drop("source", "batch")

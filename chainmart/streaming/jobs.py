@@ -44,6 +44,7 @@ def dedupe_stream(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The first row per key, however late it or its repetition arrives.
 
     No watermark, so no row is dropped for its age. The state holds every key seen: for many keys set
-    ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider, which keeps them on disk.
+    ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider, which keeps them on disk. ``dedupe_into`` keeps
+    no state and compares with the table that it writes.
     """
     return rows.dropDuplicates(list(keys))

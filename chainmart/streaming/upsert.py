@@ -165,3 +165,42 @@ def upsert_into(
         return merge_upsert(target, ordered, keys, [f"_by_{c}" for c in order], policies)
 
     return merge_into(path, partition_by, merge)
+
+
+def dedupe_into(
+    path: str, keys: Sequence[str], order: Sequence[str], source: str
+) -> Callable[[DataFrame, int | str], None]:
+    """A ``foreachBatch`` function that appends the rows whose key no earlier batch brought, the first of each key in ``order``.
+
+    What was seen is the table itself, so a stream keeps no state, however long it runs. A batch is reduced to one row
+    per key; the stored keys are narrowed to those of the batch, by a broadcast where the batch is small and else with
+    a Bloom filter before they are shuffled; only key columns are read. Null keys are equal to each other, as in
+    ``dedupe_stream``. ``order`` has to be total.
+
+    Every batch has a folder of its own below ``source``, the name of the stream: a batch that is repeated after a
+    failure replaces its folder and is not compared with it. A stream with a new checkpoint needs a new name. One
+    writer per table.
+    """
+    label = {"source", "batch"}
+
+    def append_new(batch: DataFrame, batch_id: int | str) -> None:
+        if label & set(batch.columns):
+            raise ValueError(f"columns may not be named {sorted(label)}")
+        spark = batch.sparkSession
+        # read twice below, and the batch may come out of a stateful plan
+        batch = batch.persist()
+        try:
+            new = dedupe(batch, keys, order, keep="first")
+            stored = read_or_none(spark, path)
+            if stored is not None:
+                own = (F.col("source").cast("string") == source) & (F.col("batch") == F.lit(batch_id).cast("bigint"))
+                renamed = {k: f"_seen_{at}" for at, k in enumerate(keys)}
+                same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys])
+                known = stored.where(~own).select(*[F.col(k).alias(renamed[k]) for k in keys])
+                seen = known.join(batch.select(*keys).distinct(), same, "left_semi")
+                new = new.join(seen, same, "left_anti")
+            new.write.mode("overwrite").parquet(f"{path.rstrip('/')}/source={source}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return append_new
