@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Order of arrival: sorted path, then position in the file. Split files need the block
 # start; the running id orders lines only within one block.
 FILE_ORDER = ("file_path", "file_block_start", "row_id")
+# Between the documents of one file: a control character, which JSON text never has bare.
+RECORD_SEPARATOR = "\x1e"
 
 
 def _reader(spark: SparkSession, glob: str, stream: bool, **options: str):
@@ -43,10 +45,20 @@ def scan_jsonl(
 
 
 def scan_documents(
-    spark: SparkSession, path: str, glob: str = "*.json", stream: bool = False, **options: str
+    spark: SparkSession,
+    path: str,
+    glob: str = "*.json",
+    stream: bool = False,
+    separator: str | None = None,
+    **options: str,
 ) -> DataFrame:
-    """One row per file with the whole document parsed; ``doc`` is NULL for a bad file."""
-    files = _reader(spark, glob, stream, **options).text(path, wholetext=True)
+    """One row per document, of one line or many; ``doc`` is NULL for a bad one, the others are not touched by it.
+
+    A file is one document, or, with ``separator``, as many as it parts. Where documents are many and small, files
+    of many cost less: opening a file takes longer than reading a document, and each file is listed on the driver.
+    """
+    reader = _reader(spark, glob, stream, **options)
+    files = reader.text(path, wholetext=True) if separator is None else reader.text(path, lineSep=separator)
     path_col = F.col("_metadata.file_path")
     return files.select(
         F.col("value"),
