@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import at
+from ..operators import dedupe
 from ..session import shared_dir
 from ..sources import parse_candles, scan_jsonl
 from ..streaming import dedupe_into, dedupe_stream, land_stream, run_once, tumbling_averages, upsert_into
 from . import base as b
 from .base import BLOCK, NOW, query, r6
 from .landing import DS, LINES, SCANNED, candle_lines, written
-from .merging import COLS, KEYS, KEY_SQL, LAST, ORDER, SPLIT, _split
+from .merging import COLS, CUT, KEYS, KEY_SQL, LAST, ORDER, SPLIT
 
 MONTH = "ship_month"
+#: rows that arrive for a part of the merged table, some 50 MB, and the least number of parts
+PART_ROWS, LEAST_PARTS = 2_000_000, 8
 
 
 def _batches(spark, rows, times=1):
@@ -53,17 +56,26 @@ def stream_land_files(spark, sf_dir):
     """,
 )
 def stream_upsert(spark, sf_dir):
-    """Early rows arrive first, later ones then replace them key by key, a batch per file."""
+    """Early rows arrive first, later ones then replace them key by key, a batch per file.
+
+    The table's parts follow the rows, and a file has the keys of a part: a batch rewrites that part and no other, so
+    what is written grows with the rows and not with the batches times the table.
+    """
+    lines = b.table(spark, sf_dir, "lineitem")
+    parts = max(LEAST_PARTS, -(-lines.count() // PART_ROWS))
+    # all versions of a key in one file, so the order within a batch decides
+    part = F.pmod(F.xxhash64(*KEYS), F.lit(parts)).cast("int")
+    keyed = lines.withColumn("key_part", part)
+    early, late = keyed.where(F.col("l_shipdate") < at(CUT)), keyed.where(F.col("l_shipdate") >= at(CUT))
     source = shared_dir(spark, "stream-lines")
-    for part in _split(spark, sf_dir):
-        # all versions of a key in one file, so the order within a batch decides
-        keyed = part.withColumn("key_part", F.pmod(F.xxhash64("l_orderkey"), F.lit(8)).cast("int"))
-        keyed.repartition(*KEYS).write.mode("append").parquet(source)
+    by_part = lambda rows: rows.repartition(parts, "key_part")
+    for rows in (dedupe(by_part(early), ["key_part", *KEYS], ORDER), by_part(late)):
+        rows.write.mode("append").parquet(source)
     schema = spark.read.parquet(source).schema
-    lines = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(source)
+    batches = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(source)
     out = shared_dir(spark, "merged")
     merge = upsert_into(out, KEYS, ORDER, "key_part")
-    run_once(lines.writeStream.foreachBatch(merge), shared_dir(spark, "merged-checkpoint"))
+    run_once(batches.writeStream.foreachBatch(merge), shared_dir(spark, "merged-checkpoint"))
     return spark.read.parquet(out).drop("key_part")
 
 
