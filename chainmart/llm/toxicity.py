@@ -18,7 +18,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import LOWER, kept_by_worker, own_columns, read_table, small_batches, utf8
+from .common import LOWER, Remembered, kept_by_worker, own_columns, read_table, small_batches, utf8
 
 #: remainder of the key's checksum modulo 4: never learnt from; calibrated on; the rest trains
 HELD_OUT, CALIBRATE = 2, 3
@@ -41,7 +41,7 @@ LEAD = b"0" * 32
 TAIL = b"0" * 16
 THRESHOLDS = range(1, 8)
 PREDICT_AT = 0.3
-#: distances of distinct windows kept by a worker, for its next tasks too
+#: distances of distinct windows kept by a worker, for its next tasks too: so many, and as many from before them
 CACHE = 300_000
 
 
@@ -69,11 +69,11 @@ def _dictionary(size: int, samples: list[bytes]) -> bytes:
         return b"".join(samples)[-size:] or b" " * 8
 
 
-class Distance(dict):
+class Distance(Remembered):
     """window -> bytes that the toxic dictionary saves against the ordinary one."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes, level: int = LEVEL):
-        super().__init__()
+    def __init__(self, toxic: bytes, ordinary: bytes, level: int = LEVEL, most: int | None = None):
+        super().__init__(CACHE if most is None else most)
         options = dict(level=level, write_content_size=False, write_checksum=False, write_dict_id=False)
 
         def make(content: bytes):
@@ -83,12 +83,9 @@ class Distance(dict):
 
         self.toxic, self.ordinary = make(toxic), make(ordinary)
 
-    def __missing__(self, window: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
+    def make(self, window: bytes) -> int:
         at = LEAD + b" " + window + b" " + TAIL
-        self[window] = d = len(self.ordinary(at)) - len(self.toxic(at))
-        return d
+        return len(self.ordinary(at)) - len(self.toxic(at))
 
 
 def distances(text: bytes, of: Distance, width: int = WIDTH) -> np.ndarray:
@@ -154,7 +151,9 @@ def fit(train: list[tuple[bytes, int]], calibrate: list[tuple[bytes, int]], widt
         "ordinary": _dictionary(ORDINARY_DICT, [join(w) for w, y in cut if not y]),
         "width": width,
     }
-    of = Distance(model["toxic"], model["ordinary"])
+    # the driver has this besides the rows: it keeps less than a worker, and nothing more of what it trained on
+    del cut, toxic_pieces, ordinary_pieces, best_piece, weighted, toxic
+    of = Distance(model["toxic"], model["ordinary"], most=CACHE // 4)
     y = np.array([y for _, y in calibrate], np.int64)
     found = [distances(t, of, width) for t, _ in calibrate]
     shares = {t: np.array([_share(d, t) for d in found]) for t in THRESHOLDS}
