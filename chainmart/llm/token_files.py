@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from .common import kept_by_worker, load_tokenizer, read_table, small_batches, stored, tokenizer_json, utf8
+from .common import Remembered, kept_by_worker, load_tokenizer, read_table, small_batches, stored, tokenizer_json, utf8
 
 BYTE_BPE = "byte_bpe_50k.json"
 MAGIC = b"RANSIDS1"
@@ -36,10 +36,13 @@ BLOCK_IDS = 1 << 18
 #: frequencies of a table add up to 2 to this power
 TABLE_BITS = 20
 END_ID = 0
-#: segments of texts whose ids a worker keeps, and the longest of them
+#: segments of texts whose ids a worker keeps (and as many from before them), and the longest of them
 SEGMENTS, SEGMENT_CHARS = 300_000, 64
 #: a space that follows something else than white space; two blanks of which the second is a space
 _CUT = re.compile(r"(?<=\S) ")
+#: letters that every version of Unicode has as such, behind a space or not, and marks that end a word
+_LETTERS = re.compile("[ ]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+_MARKS = frozenset(".,;:!?")
 _BLANKS = [w + " " for w in " \t\n\v\f\r\x1c\x1d\x1e\x1f"]
 #: ids of a vocabulary whose counts are gathered on the driver
 MAX_VOCABULARY = 1 << 19
@@ -140,28 +143,40 @@ def decode_block(data: bytes, table: Table, first: int = 0, last: int | None = N
     return out, lengths
 
 
-class Segments(dict):
+def _byte_characters() -> dict[int, str]:
+    """The character that a byte-level vocabulary writes for each byte: its own where that is visible, else one from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class Segments(Remembered):
     """Segment of a text -> its ids as bytes. Texts are cut where no token reaches across, so a segment is encoded once.
 
     A byte-level BPE with the usual pattern never joins a character to a blank behind it, so before each space that
-    follows something else than white space a new token begins, whatever comes before or after.
+    follows something else than white space a new token begins, whatever comes before or after. Nor does it join letters
+    to a mark behind them, and a run of letters is one word for the model.
     """
 
     def __init__(self, tokenizer, kind: str):
-        super().__init__()
+        super().__init__(SEGMENTS)
         self.tokenizer, self.kind = tokenizer, kind
         self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.model, self.written = tokenizer.model.tokenize, _byte_characters()
 
     def _encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
+    def make(self, segment: str) -> bytes:
+        if segment[-1] in _MARKS and _LETTERS.fullmatch(segment, 0, len(segment) - 1):
+            return self[segment[:-1]] + self[segment[-1]]
+        if _LETTERS.fullmatch(segment):
+            word = segment.encode().decode("latin-1").translate(self.written)
+            return np.array([t.id for t in self.model(word)], self.kind).tobytes()
+        return self._encoded(segment)
+
     def __missing__(self, segment: str) -> bytes:
-        ids = self._encoded(segment)
-        if len(segment) <= SEGMENT_CHARS:
-            if len(self) >= SEGMENTS:
-                self.clear()
-            self[segment] = ids
-        return ids
+        return super().__missing__(segment) if len(segment) <= SEGMENT_CHARS else self._encoded(segment)
 
     def text(self, text: str) -> bytes:
         if any(t in text for t in self.added):
