@@ -20,10 +20,11 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from .common import Remembered, kept_by_worker, load_tokenizer, read_table, small_batches, stored, tokenizer_json, utf8
+from .common import Remembered, kept_by_worker, load_tokenizer, read_table, small_batches, stored, tokenizer_json
 
 BYTE_BPE = "byte_bpe_50k.json"
 MAGIC = b"RANSIDS1"
@@ -38,12 +39,43 @@ TABLE_BITS = 20
 END_ID = 0
 #: segments of texts whose ids a worker keeps (and as many from before them), and the longest of them
 SEGMENTS, SEGMENT_CHARS = 300_000, 64
-#: a space that follows something else than white space; two blanks of which the second is a space
-_CUT = re.compile(r"(?<=\S) ")
+#: bytes of texts that are cut at once, and segments that the tokenizer gets as one text
+TEXT_BYTES, JOINED = 32 << 20, 1000
+#: ids of the blocks that are coded side by side
+SIDE_BY_SIDE = 1 << 22
 #: letters that every version of Unicode has as such, behind a space or not, and marks that end a word
-_LETTERS = re.compile("[ ]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+_WORD = "[ ]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+_LETTERS = re.compile(_WORD)
 _MARKS = frozenset(".,;:!?")
-_BLANKS = [w + " " for w in " \t\n\v\f\r\x1c\x1d\x1e\x1f"]
+_OTHER, _LETTER, _MARK, _SPACE, _LINE, _BLANK, _HIGH = range(7)
+
+
+def _kinds() -> np.ndarray:
+    """The kind of every byte; ``_HIGH`` is one of a character beyond ASCII."""
+    kinds = np.full(256, _OTHER, np.uint8)
+    kinds[[i for i in range(128) if chr(i).isalpha()]] = _LETTER
+    kinds[[ord(m) for m in _MARKS]] = _MARK
+    kinds[[i for i in range(128) if chr(i).isspace()]] = _BLANK
+    kinds[[ord(" "), ord("\n")]] = _SPACE, _LINE
+    kinds[128:] = _HIGH
+    return kinds
+
+
+def _borders() -> np.ndarray:
+    """Whether texts are cut between bytes of kinds ``k`` and ``l``, at ``8 * k + l``: 0 no, 1 yes, 2 as ``cuts`` looks."""
+    borders = np.zeros((8, 8), np.uint8)
+    borders[[_OTHER, _LETTER, _MARK], _SPACE] = 1
+    borders[[_LETTER, _MARK], _LINE] = 1
+    borders[_LETTER, _MARK] = 1
+    borders[_HIGH, [_SPACE, _MARK]] = 2
+    borders[_LINE, _LETTER] = 2
+    return borders.ravel()
+
+
+_KIND, _BORDER = _kinds(), _borders()
+#: white space beyond ASCII, and what is no letter from U+00C0 to U+023F, as numbers of their bytes
+_WIDE_BLANKS = [int.from_bytes(chr(i).encode()) for i in range(128, 1 << 16) if chr(i).isspace()]
+_NO_LETTERS = [0xC397, 0xC3B7]
 #: ids of a vocabulary whose counts are gathered on the driver
 MAX_VOCABULARY = 1 << 19
 _LOW = np.uint64(1 << 31)
@@ -79,68 +111,143 @@ class Table:
 
 
 def encode_block(ids: np.ndarray, lengths: np.ndarray, table: Table, lanes: int = LANES) -> bytes:
-    n, k = len(ids), np.uint64(table.bits)
-    steps = -(-n // lanes)
-    f, c = table.freq[ids], table.start[ids]
-    x = np.full(lanes, _LOW, np.uint64)
-    chunks, marks, words = [], [], 0
-    marked = []
-    top = np.uint64(63 - table.bits)
-    for t in range(steps - 1, -1, -1):
-        a, b = t * lanes, min(n, (t + 1) * lanes)
-        y, ft = x[: b - a], f[a:b]
+    return encode_blocks([(ids, lengths)], table, lanes)[0]
+
+
+def encode_blocks(blocks: list[tuple[np.ndarray, np.ndarray]], table: Table, lanes: int = LANES) -> list[bytes]:
+    """The block of each ``(ids, lengths)``. A step of all blocks is coded at once; they are as if coded one by one."""
+    k, top = np.uint64(table.bits), np.uint64(63 - table.bits)
+    # the longest first, so that those with a step t are the first ones
+    order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i][0]))
+    steps = np.array([-(-len(blocks[i][0]) // lanes) for i in order], np.int64)
+    longest = int(steps.max(initial=0))
+    # an id that fills the table leaves a state as it is: it stands for what a last step lacks
+    freq, start = np.append(table.freq, np.uint64(1 << table.bits)), np.append(table.start, np.uint64(0))
+    dealt = np.full((longest, len(order), lanes), len(table.freq), np.uint32)
+    for j, i in enumerate(order):
+        ids = blocks[i][0]
+        whole = len(ids) // lanes
+        dealt[:whole, j] = ids[: whole * lanes].reshape(whole, lanes)
+        dealt[whole : whole + 1, j, : len(ids) - whole * lanes] = ids[whole * lanes :]
+    x = np.full((len(order), lanes), _LOW, np.uint64)
+    chunks, written = [], np.zeros((longest, len(order)), np.int64)
+    marks, marked = [[] for _ in order], [[] for _ in order]
+    words = np.zeros(len(order), np.int64)
+    active = np.searchsorted(-steps, -np.arange(longest), "left")
+    for t in range(longest - 1, -1, -1):
+        m = int(active[t])
+        y, ids = x[:m], dealt[t, :m]
+        ft = freq[ids]
         # ft is at most 2**bits: a table of one id alone would shift out of range, and then nothing is written
         over = (y >> top) >= ft
-        if over.any():
-            chunks.append(y[over].astype("<u4"))
-            words += len(chunks[-1])
-            y[over] >>= np.uint64(32)
-        q, r = np.divmod(y, ft)
-        x[: b - a] = (q << k) + c[a:b] + r
+        written[t, :m] = over.sum(axis=1)
+        words += written[t]
+        chunks.append(y[over].astype("<u4"))
+        y >>= over.astype(np.uint64) << np.uint64(5)
+        q = y // ft
+        x[:m] = (q << k) + start[ids] + (y - q * ft)
         if t % CHECKPOINT == 0:
-            marks.append(x.astype("<u8").tobytes())
-            marked.append(words)
+            for j in range(m):
+                marks[j].append(x[j].astype("<u8").tobytes())
+                marked[j].append(int(words[j]))
     # decoding reads the chunks from the last written on
-    stream = b"".join(ch.tobytes() for ch in reversed(chunks))
-    body = b"".join(m + struct.pack("<Q", words - w) for m, w in zip(reversed(marks), reversed(marked)))
-    body += lengths.astype("<u8").tobytes() + stream
-    head = (table.bits, lanes, n, words, len(marks), len(lengths), table.crc)
-    return struct.pack(HEADER, MAGIC, *head, zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(body)) + body
+    stream = np.concatenate(chunks[::-1]) if chunks else np.zeros(0, "<u4")
+    own = np.repeat(np.tile(np.arange(len(order)), longest), written.ravel())
+    out = [b""] * len(order)
+    for j, i in enumerate(order):
+        ids, lengths = blocks[i]
+        body = b"".join(s + struct.pack("<Q", int(words[j]) - w) for s, w in zip(reversed(marks[j]), reversed(marked[j])))
+        body += lengths.astype("<u8").tobytes() + stream[own == j].tobytes()
+        head = (table.bits, lanes, len(ids), int(words[j]), len(marks[j]), len(lengths), table.crc)
+        crcs = zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(body)
+        out[i] = struct.pack(HEADER, MAGIC, *head, *crcs) + body
+    return out
 
 
 def decode_block(data: bytes, table: Table, first: int = 0, last: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Ids from checkpoint ``first`` up to ``last`` (all without), and the lengths of the block's documents."""
-    magic, bits, lanes, n, words, marks, docs, table_crc, ids_crc, body_crc = struct.unpack_from(HEADER, data)
-    body = memoryview(data)[struct.calcsize(HEADER) :]
-    if magic != MAGIC or zlib.crc32(body) != body_crc:
-        raise ValueError("damaged block")
-    if table_crc != table.crc or bits != table.bits:
-        raise ValueError("block of another table")
-    size = 8 * lanes + 8
-    lengths = np.frombuffer(body, "<u8", docs, marks * size).astype(np.int64)
-    stream = np.frombuffer(body, "<u4", words, marks * size + 8 * docs).astype(np.uint64)
-    steps = -(-n // lanes)
-    begin, end = first * CHECKPOINT, steps if last is None else min(steps, last * CHECKPOINT)
-    out = np.empty(max(0, min(n, end * lanes) - begin * lanes), np.uint32)
-    if len(out):
-        x = np.frombuffer(body, "<u8", lanes, first * size).astype(np.uint64)
-        at = int(np.frombuffer(body, "<u8", 1, first * size + 8 * lanes)[0])
-        k, mask = np.uint64(bits), np.uint64((1 << bits) - 1)
-        for t in range(begin, end):
-            a, b = t * lanes, min(n, (t + 1) * lanes)
-            slot = x[: b - a] & mask
-            ids = table.id[slot]
-            out[a - begin * lanes : b - begin * lanes] = ids
-            y = table.freq[ids] * (x[: b - a] >> k) + slot - table.start[ids]
-            low = y < _LOW
-            m = int(low.sum())
-            if m:
-                y[low] = (y[low] << np.uint64(32)) | stream[at : at + m]
-                at += m
-            x[: b - a] = y
-    if first == 0 and last is None and zlib.crc32(out.astype("<u4").tobytes()) != ids_crc:
-        raise ValueError("ids differ from those written")
-    return out, lengths
+    return decode_blocks([data], table, first, last)[0]
+
+
+def decode_blocks(
+    blocks: list[bytes], table: Table, first: int = 0, last: int | None = None
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """``decode_block`` of each; a step of all blocks of as many lanes is decoded at once."""
+    heads = [struct.unpack_from(HEADER, data) for data in blocks]
+    out = [None] * len(blocks)
+    for lanes in {h[2] for h in heads}:
+        chosen = [i for i, h in enumerate(heads) if h[2] == lanes]
+        found = _decoded([blocks[i] for i in chosen], [heads[i] for i in chosen], lanes, table, first, last)
+        for i, f in zip(chosen, found):
+            out[i] = f
+    return out
+
+
+def _decoded(blocks: list[bytes], heads: list[tuple], lanes: int, table: Table, first: int, last: int | None) -> list:
+    size, rows = 8 * lanes + 8, []
+    for data, head in zip(blocks, heads):
+        magic, bits, _, n, words, marks, docs, table_crc, ids_crc, body_crc = head
+        body = memoryview(data)[struct.calcsize(HEADER) :]
+        if magic != MAGIC or zlib.crc32(body) != body_crc:
+            raise ValueError("damaged block")
+        if table_crc != table.crc or bits != table.bits:
+            raise ValueError("block of another table")
+        lengths = np.frombuffer(body, "<u8", docs, marks * size).astype(np.int64)
+        stream = np.frombuffer(body, "<u4", words, marks * size + 8 * docs)
+        steps = -(-n // lanes)
+        begin, end = first * CHECKPOINT, steps if last is None else min(steps, last * CHECKPOINT)
+        count = max(0, min(n, end * lanes) - begin * lanes)
+        x = np.frombuffer(body, "<u8", lanes + 1, first * size) if count else np.zeros(lanes + 1, "<u8")
+        rows.append((count, lengths, stream, x, ids_crc))
+    order = sorted(range(len(rows)), key=lambda i: -rows[i][0])
+    counts = np.array([rows[i][0] for i in order], np.int64)
+    longest = -(-int(counts.max(initial=0)) // lanes)
+    x = np.array([rows[i][3][:lanes] for i in order], np.uint64)
+    stream = np.concatenate([rows[i][2] for i in order]).astype(np.uint64)
+    sizes = np.array([len(rows[i][2]) for i in order], np.int64)
+    at = np.array([rows[i][3][lanes] for i in order], np.int64) + np.cumsum(sizes) - sizes
+    k, mask, lane = np.uint64(table.bits), np.uint64((1 << table.bits) - 1), np.arange(lanes)
+    active = np.searchsorted(-counts, -np.arange(longest) * lanes, "left")
+    full = np.searchsorted(-counts, -(np.arange(longest) + 1) * lanes, "right")
+    dealt = np.empty((longest, len(order), lanes), np.uint32)
+    for t in range(longest):
+        m = int(active[t])
+        slot = x[:m] & mask
+        ids = table.id[slot]
+        dealt[t, :m] = ids
+        y = table.freq[ids] * (x[:m] >> k) + slot - table.start[ids]
+        low = y < _LOW
+        if full[t] < m:  # lanes that a block's last step lacks read nothing
+            low[full[t] :] &= lane < (counts[full[t] : m] - t * lanes)[:, None]
+        read = low.sum(axis=1)
+        where = np.flatnonzero(low)
+        words = stream[np.repeat(at[:m] - np.cumsum(read) + read, read) + np.arange(len(where))]
+        flat = y.ravel()
+        flat[where] = (flat[where] << np.uint64(32)) | words
+        at[:m] += read
+        x[:m] = y
+    out = [None] * len(order)
+    for j, i in enumerate(order):
+        count, lengths, _, _, ids_crc = rows[i]
+        ids = dealt[:, j].reshape(-1)[:count]
+        if first == 0 and last is None and zlib.crc32(ids.astype("<u4").tobytes()) != ids_crc:
+            raise ValueError("ids differ from those written")
+        out[i] = ids, lengths
+    return out
+
+
+def _side_by_side(rows, size):
+    """Lists of ``rows`` to code at once: as many as their largest ``size`` lets into ``SIDE_BY_SIDE``, one at least."""
+    held, most = [], 0
+    for row in rows:
+        n = size(row)
+        if held and max(most, n) * (len(held) + 1) > SIDE_BY_SIDE:
+            yield held
+            held, most = [], 0
+        held.append(row)
+        most = max(most, n)
+    if held:
+        yield held
 
 
 def _byte_characters() -> dict[int, str]:
@@ -150,19 +257,46 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def cuts(data: np.ndarray) -> np.ndarray:
+    """For each byte of UTF-8 texts that follow each other, whether its text is cut before it.
+
+    A byte-level BPE with the usual pattern never joins a character to a blank behind it, so before each space or line
+    end that follows something else than white space a new token begins, whatever comes before or after. Nor does it
+    join letters to a mark behind them, or a line end that is the only white space to a letter behind it.
+    """
+    kind = _KIND[data]
+    cut = np.zeros(len(data), np.uint8)
+    cut[1:] = _BORDER[kind[:-1] * np.uint8(8) + kind[1:]]
+    at = np.flatnonzero(cut == 2)
+    two = data[at - 2].astype(np.int64) << 8 | data[at - 1]
+    three = data[at - 3].astype(np.int64) << 16 | two
+    blank = np.isin(two, _WIDE_BLANKS) | np.isin(three, _WIDE_BLANKS)
+    letter = (two >> 8 >= 0xC3) & (two >> 8 <= 0xC8) & ~np.isin(two, _NO_LETTERS)
+    behind = kind[at - 2]
+    lone = (at >= 2) & ((behind == _LETTER) | (behind == _MARK))
+    cut[at] = np.select([kind[at] == _SPACE, kind[at] == _MARK], [~blank, letter], lone)
+    return cut.view(bool)
+
+
 class Segments(Remembered):
-    """Segment of a text -> its ids as bytes. Texts are cut where no token reaches across, so a segment is encoded once.
+    """Segment of a text -> its ids as bytes. Texts are cut as ``cuts`` says, where no token reaches across.
 
-    A byte-level BPE with the usual pattern never joins a character to a blank behind it, so before each space that
-    follows something else than white space a new token begins, whatever comes before or after. Nor does it join letters
-    to a mark behind them, and a run of letters is one word for the model.
+    The segments of many texts are looked up at once, equal ones once. Those that are new go to the model itself if they
+    are letters, which are one word for it; others to the tokenizer together as one text, whose ids are parted by the
+    bytes that they stand for.
     """
 
     def __init__(self, tokenizer, kind: str):
         super().__init__(SEGMENTS)
         self.tokenizer, self.kind = tokenizer, kind
-        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        added = tokenizer.get_added_tokens_decoder()
+        self.added = [t.content for t in added.values()]
         self.model, self.written = tokenizer.model.tokenize, _byte_characters()
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        #: bytes that an id stands for: a vocabulary of bytes writes each as a character
+        self.bytes_of = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = len(token)
 
     def _encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -171,23 +305,116 @@ class Segments(Remembered):
         if segment[-1] in _MARKS and _LETTERS.fullmatch(segment, 0, len(segment) - 1):
             return self[segment[:-1]] + self[segment[-1]]
         if _LETTERS.fullmatch(segment):
-            word = segment.encode().decode("latin-1").translate(self.written)
-            return np.array([t.id for t in self.model(word)], self.kind).tobytes()
+            return self._words([segment])[0]
         return self._encoded(segment)
 
     def __missing__(self, segment: str) -> bytes:
-        return super().__missing__(segment) if len(segment) <= SEGMENT_CHARS else self._encoded(segment)
+        if not segment:
+            return b""
+        if len(segment) > SEGMENT_CHARS or any(t in segment for t in self.added):
+            return self._encoded(segment)
+        return super().__missing__(segment)
+
+    def _words(self, segments: list[str]) -> list[bytes]:
+        """Ids of segments of letters: each is one word for the model, which knows bytes as characters."""
+        ids, ends, space = [], [0], self.written[ord(" ")]
+        for s in segments:
+            word = s.replace(" ", space) if s.isascii() else s.encode().decode("latin-1").translate(self.written)
+            ids += [t.id for t in self.model(word)]
+            ends.append(len(ids))
+        ids = np.array(ids, self.kind)
+        data, ends = ids.tobytes(), [n * ids.itemsize for n in ends]
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _joined(self, segments: list[str]) -> list[bytes]:
+        """Ids of segments that begin with a space and do not end with a blank: the tokenizer gets them as one text."""
+        wanted = np.cumsum([len(s.encode()) for s in segments])
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(segments)], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.cumsum(self.bytes_of[ids])
+        at = np.searchsorted(ends, wanted)
+        # not so if the vocabulary lacks bytes that occur
+        if not len(ends) or ends[-1] != wanted[-1] or (ends[at] != wanted).any():
+            return [self._encoded(s) for s in segments]
+        data, to = ids.astype(self.kind).tobytes(), ((at + 1) * np.dtype(self.kind).itemsize).tolist()
+        return [data[a:b] for a, b in zip([0, *to], to)]
+
+    def _keep(self, segments: list[str], ids: list[bytes]) -> None:
+        at = 0
+        while at < len(segments):
+            if len(self) >= self.most:
+                self.before = dict(self)
+                self.clear()
+            end = at + self.most - len(self)
+            self.update(zip(segments[at:end], ids[at:end]))
+            at = end
+
+    def of(self, column: pa.Array) -> list[bytes]:
+        """The ids of each segment of a string column; no segment is there twice."""
+        segments = column.to_pylist()
+        found = list(map(self.get, segments))
+        lost = [i for i, ids in enumerate(found) if ids is None]
+        if not lost:
+            return found
+        letters = pc.match_substring_regex(column, f"^{_WORD}\\z").to_pylist()
+        again, words, joined, before = [], [], [], self.before.get
+        for i in lost:
+            s = segments[i]
+            ids = before(s)
+            if ids is not None:
+                found[i] = ids
+                again.append(i)
+            elif not s or len(s) > SEGMENT_CHARS:
+                found[i] = self[s]
+            elif letters[i]:
+                words.append(i)
+            elif s[0] == " " and not s[-1].isspace():
+                joined.append(i)
+            else:
+                found[i] = self[s]
+        self._keep([segments[i] for i in again], [found[i] for i in again])
+        for places, make in (words, self._words), (joined, self._joined):
+            for begun in range(0, len(places), JOINED):
+                part = places[begun : begun + JOINED]
+                new = [segments[i] for i in part]
+                text = "".join(new)
+                if any(t in text for t in self.added):
+                    made = [self[s] for s in new]
+                else:
+                    made = make(new)
+                    self._keep(new, made)
+                for i, ids in zip(part, made):
+                    found[i] = ids
+        return found
+
+    def texts(self, texts: pa.Array, last: bytes = b"") -> pa.Array:
+        """The ids of each text of a binary column without nulls, and ``last`` behind them."""
+        if not len(texts):
+            return pa.array([], pa.binary())
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        data = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
+        ends -= ends[0]
+        cut = cuts(data)
+        cut[ends[:-1][ends[:-1] < len(data)]] = False
+        for t in self.added:
+            for i in np.flatnonzero(pc.match_substring(texts, t).to_numpy(zero_copy_only=False)):
+                cut[ends[i] : ends[i + 1]] = False
+        inner = np.flatnonzero(cut)
+        # a text's first segment begins where the text does, and an empty text has an empty one
+        before = np.searchsorted(inner, ends)
+        borders = np.append(np.insert(inner, before[:-1], ends[:-1]), len(data)).astype(np.int32)
+        segments = pa.Array.from_buffers(pa.binary(), len(borders) - 1, [None, pa.py_buffer(borders), pa.py_buffer(data)])
+        coded = segments.dictionary_encode()
+        found = self.of(coded.dictionary.cast(pa.string()))
+        behind = before + np.arange(len(before))
+        places = np.insert(coded.indices.to_numpy(), behind[1:], len(found))
+        ids = pa.array([*found, last], pa.binary()).take(pa.array(places))
+        _, offsets, data = ids.buffers()
+        offsets = np.frombuffer(offsets, np.int32)[ids.offset :][behind + np.arange(len(behind))]
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), data])
 
     def text(self, text: str) -> bytes:
-        if any(t in text for t in self.added):
-            return self._encoded(text)
-        if text.isascii() and not any(w in text for w in _BLANKS):
-            parts = text.split(" ")
-        else:
-            parts = _CUT.split(text)
-        out = [self[parts[0]]] if parts[0] else []
-        out += [self[p] for p in map(" ".__add__, parts[1:])]
-        return b"".join(out)
+        return self.texts(pa.array([text.encode()], pa.binary()))[0].as_py()
 
 
 def cut_at_spaces(content: str) -> bool:
@@ -205,6 +432,20 @@ def cut_at_spaces(content: str) -> bool:
     )
 
 
+def _in_bytes(batches):
+    """Keys and texts (binary, a null is empty) of batches together, up to ``TEXT_BYTES`` or those of one batch."""
+    held, size = [], 0
+    for b in batches:
+        b = b.column(0), b.column(1).cast(pa.binary()).fill_null(b"")
+        if held and size + b[1].nbytes > TEXT_BYTES:
+            yield tuple(pa.concat_arrays(c) for c in zip(*held))
+            held, size = [], 0
+        held.append(b)
+        size += b[1].nbytes
+    if held:
+        yield tuple(pa.concat_arrays(c) for c in zip(*held))
+
+
 def tokenised(docs: DataFrame, path: str, key: str, text: str, end_id: int | None = END_ID) -> DataFrame:
     """``key, ids``: little-endian ids of every row, of two bytes each if the vocabulary allows, else four."""
     content = docs.sparkSession.sparkContext.broadcast(tokenizer_json(path))
@@ -215,12 +456,14 @@ def tokenised(docs: DataFrame, path: str, key: str, text: str, end_id: int | Non
         kind = "<u2" if tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4"
         last = np.array(end, kind).tobytes()
         segments = kept_by_worker(f"segments-{kind}-{id(tokenizer)}", lambda: Segments(tokenizer, kind))
-        encode = segments.text if cut_at_spaces(content.value) else segments._encoded
-        for b in batches:
-            texts = utf8(b.column(1))
+        cut = cut_at_spaces(content.value)
+        for keys, texts in _in_bytes(batches):
+            if cut:
+                yield pa.RecordBatch.from_arrays([keys, segments.texts(texts, last)], ["key", "ids"])
+                continue
             for at in range(0, len(texts), 256):
-                ids = [encode(t.decode()) + last for t in texts[at : at + 256]]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(ids)), pa.array(ids, pa.binary())], ["key", "ids"])
+                ids = [segments._encoded(t.decode()) + last for t in texts.slice(at, 256).to_pylist()]
+                yield pa.RecordBatch.from_arrays([keys.slice(at, len(ids)), pa.array(ids, pa.binary())], ["key", "ids"])
 
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("ids", T.BinaryType())])
     return small_batches(docs).select(key, text).mapInArrow(run, schema)
@@ -232,8 +475,7 @@ def _table_of(tokens: DataFrame, kind: str, size: int, bits: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(size, np.int64)
         for b in batches:
-            for ids in b.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(ids, kind), minlength=size)
+            total += np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), kind), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["id", "n"])
 
@@ -271,32 +513,33 @@ def write_token_files(
 
     def pack(batches):
         table, part, n = Table(*sent.value), TaskContext.get().partitionId(), 0
-        keys, ids, size = [], [], 0
-
-        def block():
-            lengths = np.array([len(x) for x in ids], np.int64)
-            payload = encode_block(np.concatenate(ids), lengths, table)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part], pa.int64()),
-                    pa.array([n], pa.int64()),
-                    pa.array([size], pa.int64()),
-                    pa.array([keys], pa.list_(key_type)),
-                    pa.array([payload], pa.binary()),
-                ],
-                ["part", "block", "n_ids", "keys", "payload"],
-            )
 
-        for b in batches:
-            for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                keys.append(k)
-                ids.append(np.frombuffer(x, kind))
-                size += len(ids[-1])
-                if size >= block_ids:
-                    yield block()
-                    keys, ids, size, n = [], [], 0, n + 1
-        if keys:
-            yield block()
+        def blocks():
+            keys, ids, size = [], [], 0
+            for b in batches:
+                for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    keys.append(k)
+                    ids.append(np.frombuffer(x, kind))
+                    size += len(ids[-1])
+                    if size >= block_ids:
+                        yield keys, np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
+                        keys, ids, size = [], [], 0
+            if keys:
+                yield keys, np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
+
+        for held in _side_by_side(blocks(), lambda block: len(block[1])):
+            for (keys, ids, _), payload in zip(held, encode_blocks([block[1:] for block in held], table)):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([part], pa.int64()),
+                        pa.array([n], pa.int64()),
+                        pa.array([len(ids)], pa.int64()),
+                        pa.array([keys], pa.list_(key_type)),
+                        pa.array([payload], pa.binary()),
+                    ],
+                    ["part", "block", "n_ids", "keys", "payload"],
+                )
+                n += 1
 
     schema = T.StructType(
         [
@@ -333,9 +576,9 @@ def read_token_files(spark: SparkSession, folder: str, key: str = "doc_id") -> D
     def unpack(batches):
         bits = int(sent.value.sum()).bit_length() - 1
         table = Table(sent.value, bits)
-        for b in batches:
-            for start, keys, data in zip(*(b.column(i).to_pylist() for i in range(3))):
-                ids, lengths = decode_block(data, table)
+        rows = (row for b in batches for row in zip(*(b.column(i).to_pylist() for i in range(3))))
+        for held in _side_by_side(rows, lambda row: struct.unpack_from(HEADER, row[2])[3]):
+            for (start, keys, _), (ids, lengths) in zip(held, decode_blocks([row[2] for row in held], table)):
                 ends = np.cumsum(lengths)
                 parts = [ids[e - n : e].astype("<u4").tobytes() for n, e in zip(lengths.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
