@@ -386,35 +386,44 @@ class Segments(Remembered):
                     found[i] = ids
         return found
 
-    def texts(self, texts: pa.Array, last: bytes = b"") -> pa.Array:
-        """The ids of each text of a binary column without nulls, and ``last`` behind them."""
-        if not len(texts):
-            return pa.array([], pa.binary())
+    def parted(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The segments of a binary column without nulls, and the place of each text's first one, and their number."""
         _, offsets, data = texts.buffers()
-        ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
         data = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
-        ends -= ends[0]
+        ends = ends - ends[0]
         cut = cuts(data)
         cut[ends[:-1][ends[:-1] < len(data)]] = False
         for t in self.added:
             for i in np.flatnonzero(pc.match_substring(texts, t).to_numpy(zero_copy_only=False)):
                 cut[ends[i] : ends[i + 1]] = False
-        inner = np.flatnonzero(cut)
+        inner = np.flatnonzero(cut).astype(np.int32)
         # a text's first segment begins where the text does, and an empty text has an empty one
         before = np.searchsorted(inner, ends)
-        borders = np.append(np.insert(inner, before[:-1], ends[:-1]), len(data)).astype(np.int32)
+        borders = np.append(np.insert(inner, before[:-1], ends[:-1]), ends[-1:])
         segments = pa.Array.from_buffers(pa.binary(), len(borders) - 1, [None, pa.py_buffer(borders), pa.py_buffer(data)])
-        coded = segments.dictionary_encode()
-        found = self.of(coded.dictionary.cast(pa.string()))
-        behind = before + np.arange(len(before))
-        places = np.insert(coded.indices.to_numpy(), behind[1:], len(found))
-        ids = pa.array([*found, last], pa.binary()).take(pa.array(places))
-        _, offsets, data = ids.buffers()
-        offsets = np.frombuffer(offsets, np.int32)[ids.offset :][behind + np.arange(len(behind))]
-        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), data])
+        return segments, before + np.arange(len(before))
+
+    def columns(self, texts: list[pa.Array], last: bytes = b""):
+        """The ids of each text of binary columns without nulls, and ``last`` behind them: a column for each."""
+        parted = [self.parted(c) for c in texts if len(c)]
+        coded = pa.chunked_array([segments for segments, _ in parted], pa.binary()).dictionary_encode().chunks
+        firsts = [f for _, f in parted]
+        del parted
+        known = pa.array([*(self.of(coded[0].dictionary.cast(pa.string())) if coded else []), last], pa.binary())
+        coded, firsts = iter(coded), iter(firsts)
+        for c in texts:
+            if not len(c):
+                yield pa.array([], pa.binary())
+                continue
+            first = next(firsts)
+            ids = known.take(pa.array(np.insert(next(coded).indices.to_numpy(), first[1:], len(known) - 1)))
+            _, offsets, data = ids.buffers()
+            offsets = np.frombuffer(offsets, np.int32)[ids.offset :][first + np.arange(len(first))]
+            yield pa.Array.from_buffers(pa.binary(), len(c), [None, pa.py_buffer(offsets), data])
 
     def text(self, text: str) -> bytes:
-        return self.texts(pa.array([text.encode()], pa.binary()))[0].as_py()
+        return next(self.columns([pa.array([text.encode()], pa.binary())]))[0].as_py()
 
 
 def cut_at_spaces(content: str) -> bool:
@@ -433,17 +442,18 @@ def cut_at_spaces(content: str) -> bool:
 
 
 def _in_bytes(batches):
-    """Keys and texts (binary, a null is empty) of batches together, up to ``TEXT_BYTES`` or those of one batch."""
-    held, size = [], 0
+    """Lists of keys and of texts (binary, a null is empty) of batches, up to ``TEXT_BYTES`` or those of one batch."""
+    keys, texts, size = [], [], 0
     for b in batches:
-        b = b.column(0), b.column(1).cast(pa.binary()).fill_null(b"")
-        if held and size + b[1].nbytes > TEXT_BYTES:
-            yield tuple(pa.concat_arrays(c) for c in zip(*held))
-            held, size = [], 0
-        held.append(b)
-        size += b[1].nbytes
-    if held:
-        yield tuple(pa.concat_arrays(c) for c in zip(*held))
+        t = b.column(1).cast(pa.binary()).fill_null(b"")
+        if texts and size + t.nbytes > TEXT_BYTES:
+            yield keys, texts
+            keys, texts, size = [], [], 0
+        keys.append(b.column(0))
+        texts.append(t)
+        size += t.nbytes
+    if texts:
+        yield keys, texts
 
 
 def tokenised(docs: DataFrame, path: str, key: str, text: str, end_id: int | None = END_ID) -> DataFrame:
@@ -459,11 +469,11 @@ def tokenised(docs: DataFrame, path: str, key: str, text: str, end_id: int | Non
         cut = cut_at_spaces(content.value)
         for keys, texts in _in_bytes(batches):
             if cut:
-                yield pa.RecordBatch.from_arrays([keys, segments.texts(texts, last)], ["key", "ids"])
-                continue
-            for at in range(0, len(texts), 256):
-                ids = [segments._encoded(t.decode()) + last for t in texts.slice(at, 256).to_pylist()]
-                yield pa.RecordBatch.from_arrays([keys.slice(at, len(ids)), pa.array(ids, pa.binary())], ["key", "ids"])
+                found = segments.columns(texts, last)
+            else:
+                found = (pa.array([segments._encoded(t.decode()) + last for t in c.to_pylist()], pa.binary()) for c in texts)
+            for k, ids in zip(keys, found):
+                yield pa.RecordBatch.from_arrays([k, ids], ["key", "ids"])
 
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("ids", T.BinaryType())])
     return small_batches(docs).select(key, text).mapInArrow(run, schema)

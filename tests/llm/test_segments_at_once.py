@@ -13,8 +13,10 @@ PIECES = [" ", " ", " ", "\n", "\n\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", "
           "日本", "12", "'s", "'", ".", ",", "...", "!?", "$$$", "<|endoftext|>", "<|endoftext", "w" * 70, "\x00", "🙂"]
 
 
-def ids_of(column):
-    return [np.frombuffer(x, "<u4").tolist() for x in column.to_pylist()]
+def ids_of(segments, *columns, last=b""):
+    found = list(segments.columns(list(columns), last))
+    assert [len(c) for c in found] == [len(c) for c in columns]
+    return [np.frombuffer(x, "<u4").tolist() for c in found for x in c.to_pylist()]
 
 
 @pytest.mark.parametrize("most", [3, 50, 300_000])
@@ -28,11 +30,12 @@ def test_texts_at_once(monkeypatch, most):
         texts = ["".join(rng.choice(PIECES, rng.integers(0, 12))) for _ in range(400)]
         column = pa.array([x.encode() for x in texts], pa.binary())
         want = [t.encode(x, add_special_tokens=False).ids for x in texts]
-        assert ids_of(s.texts(column)) == want
-        assert ids_of(s.texts(column.slice(150, 99), np.array([7], "<u4").tobytes())) == [x + [7] for x in want[150:249]]
+        assert ids_of(s, column) == want
+        parts = column.slice(150, 99), column.slice(0, 0), column.slice(249)
+        assert ids_of(s, *parts, last=np.array([7], "<u4").tobytes()) == [x + [7] for x in want[150:]]
         assert len(s) <= most and len(s.before) <= most
-    assert ids_of(s.texts(column.slice(0, 0))) == []
-    assert ids_of(s.texts(pa.array([b"", b""]))) == [[], []]
+    assert ids_of(s) == ids_of(s, column.slice(0, 0)) == []
+    assert ids_of(s, pa.array([b"", b""]), pa.array([b""])) == [[], [], []]
 
 
 def test_added_tokens_of_letters_or_blanks():
@@ -41,7 +44,7 @@ def test_added_tokens_of_letters_or_blanks():
     s = token_files.Segments(t, "<u4")
     texts = ["hello", "a hello b", "othello", "b c", " b", " c", " b c d", "a <x> b", "a <x>", " <", "x> b"] * 3
     for some in (texts, texts[::-1], [" b", " c1", " b1", " c"]):
-        got = ids_of(s.texts(pa.array([x.encode() for x in some], pa.binary())))
+        got = ids_of(s, pa.array([x.encode() for x in some], pa.binary()))
         assert got == [t.encode(x, add_special_tokens=False).ids for x in some]
 
 
@@ -61,7 +64,7 @@ def test_words_are_looked_up_once_for_many_texts():
     t = Tokenizer.from_file(PATH)
     s = Counted(t, "<u4")
     text = "Some words, some words again.\nSome é7 words 12 and é7 too"
-    got = ids_of(s.texts(pa.array([text.encode()] * 5000, pa.binary())))
+    got = ids_of(s, *[pa.array([text.encode()] * 1000, pa.binary())] * 5)
     assert got == [t.encode(text, add_special_tokens=False).ids] * 5000
     assert len(looked) < 40
 
@@ -99,10 +102,16 @@ def test_blocks_together_are_bounded(monkeypatch):
     assert list(token_files._side_by_side([], int)) == []
 
 
-def test_batches_together_keep_keys_and_nulls():
+def test_batches_together_keep_keys_and_nulls(monkeypatch):
     def batch(keys, texts):
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(texts, pa.string())], ["k", "t"])
 
-    got = list(token_files._in_bytes(iter([batch([1, None], ["a", None]), batch([], []), batch([3], ["bc"])])))
-    assert [(k.to_pylist(), t.to_pylist()) for k, t in got] == [([1, None, 3], [b"a", b"", b"bc"])]
+    def got(*batches):
+        lists = token_files._in_bytes(iter(batches))
+        return [([x for k in keys for x in k.to_pylist()], [x for t in texts for x in t.to_pylist()]) for keys, texts in lists]
+
+    some = batch([1, None], ["a", None]), batch([], []), batch([3], ["bc"])
+    assert got(*some) == [([1, None, 3], [b"a", b"", b"bc"])]
+    monkeypatch.setattr(token_files, "TEXT_BYTES", 1)
+    assert got(*some) == [([1, None], [b"a", b""]), ([], []), ([3], [b"bc"])]
     assert list(token_files._in_bytes(iter([]))) == []
