@@ -1,8 +1,9 @@
 """De-duplication and the merge (upsert) family, as grouped aggregates.
 
-Everything is phrased as "aggregate target and updates by key", which combines
-on the map side: a key that holds a third of all rows leaves each task as one
-row. Order keys must be total, so results do not depend on task scheduling.
+Everything is phrased as "reduce target and updates by key", as an aggregate
+or as the first of a ranking, which combines on the map side: a key that holds
+a third of all rows leaves each task as one row. Order keys must be total, so
+results do not depend on task scheduling.
 """
 
 from __future__ import annotations
@@ -57,15 +58,32 @@ def merge_upsert(
     ``policies`` names the columns that are not plainly replaced. Several
     updates of one key in one batch resolve column by column, exactly as if
     the statements had run in sequence. A missing target counts as empty.
+
+    Where all columns are replaced, a key's last row is its result, so rows are ranked and not taken apart: each
+    goes through the shuffle once, without a copy of the columns that order it.
     """
     cols = [c for c in updates.columns if c not in order] if target is None else target.columns
     by_policy = policy_columns(cols, keys, policies)
+    if by_policy[REPLACE] and not (by_policy[SET_ON_INSERT] or by_policy[KEEP_IF_NULL]):
+        return _last_rows(target, updates, keys, order, cols)
     merged = _reduced(_stack(target, updates, order, cols), keys, by_policy)
     place = {c: F.col(f"_replaced.{c}") for c in by_policy[REPLACE]}
     place.update({c: F.col(f"_inserted.{c}") for c in by_policy[SET_ON_INSERT]})
     return merged.select(*[place.get(c, F.col(c)).alias(c) for c in cols])
 
 
+def _last_rows(
+    target: DataFrame | None, updates: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str]
+) -> DataFrame:
+    """The last row of each key: of the updates in ``order``, or of the target where none came."""
+    apart = [o for o in order if o not in cols]
+    rows = updates.select(*cols, *apart, F.lit(1).alias("_batch"))
+    if target is not None:
+        none = [F.lit(None).cast(updates.schema[o].dataType).alias(o) for o in apart]
+        rows = target.select(*cols, *none, F.lit(0).alias("_batch")).unionByName(rows)
+    return dedupe(rows, keys, ["_batch", *order]).select(*cols)
+
+
 def policy_columns(
     cols: Sequence[str], keys: Sequence[str], policies: Mapping[str, str] | None
 ) -> dict[str, list[str]]:

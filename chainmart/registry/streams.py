@@ -17,6 +17,8 @@ from .merging import COLS, CUT, KEYS, KEY_SQL, LAST, ORDER, SPLIT
 MONTH = "ship_month"
 #: rows that arrive for a part of the merged table, some 50 MB, and the least number of parts
 PART_ROWS, LEAST_PARTS = 2_000_000, 8
+#: bytes of a row group in the files that a stream reads: a file is a batch, and its row groups are read side by side
+GROUP_BYTES = 4 << 20
 
 
 def _batches(spark, rows, times=1):
@@ -68,9 +70,10 @@ def stream_upsert(spark, sf_dir):
     keyed = lines.withColumn("key_part", part)
     early, late = keyed.where(F.col("l_shipdate") < at(CUT)), keyed.where(F.col("l_shipdate") >= at(CUT))
     source = shared_dir(spark, "stream-lines")
-    by_part = lambda rows: rows.repartition(parts, "key_part")
-    for rows in (dedupe(by_part(early), ["key_part", *KEYS], ORDER), by_part(late)):
-        rows.write.mode("append").parquet(source)
+    by_part = lambda rows: rows.repartitionById(parts, "key_part")
+    # the keys before their part, which is the same for all rows of a task: it would tell the sort nothing
+    for rows in (dedupe(by_part(early), [*KEYS, "key_part"], ORDER), by_part(late)):
+        rows.write.mode("append").option("parquet.block.size", str(GROUP_BYTES)).parquet(source)
     schema = spark.read.parquet(source).schema
     batches = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(source)
     out = shared_dir(spark, "merged")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from functools import reduce
@@ -9,10 +10,14 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from ..operators.merge import dedupe, merge_upsert
 from ..sources.sinks import write_merged
 
+#: partitions whose folders are listed by themselves; more are found by listing the table
+FEW = 32
+
 Merge = Callable[[DataFrame | None, DataFrame], DataFrame]
 
 
@@ -26,12 +31,99 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _touched_or_none(spark: SparkSession, path: str, partition: StructField, values: Sequence[str]) -> DataFrame | None:
+    """The table, of which a few partitions are to be read, or None while it does not exist.
+
+    Only the folders of these are listed (of one other, for the columns, while there are none), so that a merge into a
+    table of many partitions costs no more than into one of few. Where they alone do not tell the type that the batch
+    has for their column, all folders are listed.
+    """
+    if len(values) <= FEW and _exists(spark, path):
+        name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        folders = [f"{path}/{name(partition.name, v)}" for v in values]
+        folders = [f for f in folders if _exists(spark, f)] or _any_partition(spark, path)
+        if folders:
+            rows = spark.read.option("basePath", path).parquet(*folders)
+            if rows.schema[partition.name].dataType == partition.dataType:
+                return rows
+    return read_or_none(spark, path)
+
+
+def _any_partition(spark: SparkSession, path: str) -> list[str]:
+    """One folder of a partition, if there is any."""
+    table = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = table.getFileSystem(spark._jsc.hadoopConfiguration()).listStatusIterator(table)
+    while found.hasNext():
+        folder = found.next()
+        if folder.isDirectory() and "=" in folder.getPath().getName():
+            return [folder.getPath().toString()]
+    return []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system holds it; nothing happens if there is none."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    """An empty file, there or not at any moment."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path)
+    mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, True).close()
+
+
+def _move_partitions(spark: SparkSession, staged: str, path: str) -> bool:
+    """Replace the partitions of ``path`` whose folders lie below ``staged`` by these; False if there is no folder.
+
+    Old files go first, then each new one is moved by itself. Files of one write share the id in their names, so a
+    replacement that was interrupted is taken up where it stopped: what has been moved is not taken for old.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f for f in fs.listStatus(hadoop.Path(staged)) if f.isDirectory() and "=" in f.getPath().getName()]
+    for folder in folders:
+        new = [f.getPath() for f in fs.listStatus(folder.getPath())]
+        written = {_write_id(f.getName()) for f in new}
+        into = hadoop.Path(path, folder.getPath().getName())
+        fs.mkdirs(into)
+        if new:
+            for old in fs.listStatus(into):
+                if _write_id(old.getPath().getName()) not in written:
+                    fs.delete(old.getPath(), True)
+        for file in new:
+            place = hadoop.Path(into, file.getName())
+            # a copy that was cut off, on a file system that moves by copying
+            fs.delete(place, False)
+            if not fs.rename(file, place):
+                raise OSError(f"{file} could not be moved to {place}")
+    return bool(folders)
+
+
+def _write_id(name: str) -> str:
+    """What a file's name says of the write that made it: ``part-<task>-<id>``, the id having 36 characters."""
+    return name.split("-", 2)[-1][:36]
+
+
+def _tasks_follow_rows(spark: SparkSession) -> bool:
+    """Whether Spark puts small tasks together; it does not in the session of a stateful stream."""
+    needed = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled")
+    return all(spark.conf.get(c).lower() == "true" for c in needed)
+
+
+def _out_of_files(batch: DataFrame) -> bool:
+    """Whether a batch of a stream comes out of its files row by row, without a shuffle, a state or Python on the way."""
+    plan = batch._jdf.queryExecution()
+    if plan.analyzed().nodeName() != "LogicalRDD":
+        return False
+    steps = set(re.findall(r"\w+RDD", plan.toRdd().toDebugString()))
+    return "FileScanRDD" in steps and steps <= {"FileScanRDD", "MapPartitionsRDD", "SQLExecutionRDD"}
+
+
 def log_path(path: str) -> str:
     """Folder of a table's change log."""
     return f"{path.rstrip('/')}_changes"
@@ -43,9 +135,9 @@ def merge_into(
     """A ``foreachBatch`` function replacing the partitions a batch touches by ``merge(target, batch)``.
 
     The partition must follow from the key and not be NULL. Only touched partitions are read
-    and rewritten. The merged rows are first written aside and marked complete, then published,
-    then removed: a replacement that was interrupted is published again before anything else is
-    merged, so it never loses a partition. Batch ids play no part, so a new checkpoint may begin
+    and rewritten. The merged rows are first written aside, in folders of their partitions, and marked complete, then
+    their files are moved into the table, then the mark is removed: a replacement that was interrupted is published
+    before anything else is merged, so it never loses a partition. Batch ids play no part, so a new checkpoint may begin
     at 0 again. A batch repeated after a failure is merged once more, which must change nothing:
     ``merge`` has to give the same table for the same batch applied twice. One writer per table.
 
@@ -56,38 +148,52 @@ def merge_into(
     aside = f"{path.rstrip('/')}_staged"
 
     def publish(spark: SparkSession) -> None:
-        rows = spark.read.parquet(f"{aside}/rows")
-        write_merged(rows, path, partition_by)
-        if zone is not None:
+        if zone is not None and (rows := read_or_none(spark, f"{aside}/rows")) is not None:
+            # before the files go; an interrupted run finds the spans of those that have gone in place
             spans = rows.groupBy(partition_by).agg(
                 F.min(zone).alias("least"), F.max(zone).alias("greatest"), F.count("*").alias("n_rows")
             )
             write_merged(spans, f"{path.rstrip('/')}_zones", partition_by)
+        if not _move_partitions(spark, f"{aside}/rows", path):
+            # rows that were written aside without folders
+            rows = read_or_none(spark, f"{aside}/rows")
+            if rows is not None:
+                write_merged(rows, path, partition_by)
         # the mark goes first: rows without it are never published
         remove(spark, f"{aside}/complete")
         remove(spark, aside)
 
     def merge_batch(batch: DataFrame, batch_id: int | str) -> None:
         spark = batch.sparkSession
-        if read_or_none(spark, f"{aside}/complete") is not None:
+        if _exists(spark, f"{aside}/complete"):
             publish(spark)
-        # used twice below, and the batch may come out of a stateful plan
-        batch = batch.persist()
-        if batch.isEmpty():
-            batch.unpersist()
+        # used twice below, and the batch may come out of a stateful plan; out of files it is sooner read again than kept
+        kept = not _out_of_files(batch)
+        if kept:
+            batch = batch.persist()
+        # values of the partition column, and as they stand in the names of folders
+        touched = batch.select(partition_by, F.col(partition_by).cast("string").alias("_name")).distinct().collect()
+        if not touched:
+            if kept:
+                batch.unpersist()
             return
-        target = read_or_none(spark, path)
+        target = _touched_or_none(spark, path, batch.schema[partition_by], [r[1] for r in touched])
         if target is not None:
             # values of the partition column only, so the scan prunes by them
-            touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
-            target = target.where(F.col(partition_by).isin(touched))
-        merge(target, batch).write.mode("overwrite").parquet(f"{aside}/rows")
-        batch.unpersist()
+            target = target.where(F.col(partition_by).isin([r[0] for r in touched]))
+        merged = merge(target, batch)
+        # a single partition has a file for each task of its merge, where the number of tasks follows the rows
+        ready = merged if len(touched) == 1 and _tasks_follow_rows(spark) else merged.hint("rebalance", partition_by)
+        # all that an interrupted merge left there goes, whatever the session says of partitions
+        whole = ready.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        whole.partitionBy(partition_by).parquet(f"{aside}/rows")
+        if kept:
+            batch.unpersist()
         if written_by is not None:
             # before the mark, so that no published row lacks in the log; a repeated batch replaces its folder
-            new = spark.read.parquet(f"{aside}/rows").where(F.col(written_by) == run)
+            new = spark.read.schema(merged.schema).parquet(f"{aside}/rows").where(F.col(written_by) == run)
             new.write.mode("overwrite").parquet(f"{log_path(path)}/run={run}/batch={batch_id}")
-        spark.range(1).write.mode("overwrite").parquet(f"{aside}/complete")
+        _mark(spark, f"{aside}/complete")
         publish(spark)
 
     return merge_batch
@@ -158,11 +264,10 @@ def upsert_into(
     def merge(target: DataFrame | None, batch: DataFrame) -> DataFrame:
         if "row_id" in order:
             batch = batch.withColumn("row_id", F.monotonically_increasing_id())
-        if target is not None:
-            target = target.select([c for c in batch.columns if c in target.columns])
-        kept = batch.columns if target is None else dict.fromkeys([*target.columns, *order])
-        ordered = batch.select(*kept).withColumns({f"_by_{c}": F.col(c) for c in order})
-        return merge_upsert(target, ordered, keys, [f"_by_{c}" for c in order], policies)
+        # columns of an empty table are all merged, those of the order as well
+        target = batch.limit(0) if target is None else target.select([c for c in batch.columns if c in target.columns])
+        kept = dict.fromkeys([*target.columns, *order])
+        return merge_upsert(target, batch.select(*kept), keys, order, policies)
 
     return merge_into(path, partition_by, merge)
 
