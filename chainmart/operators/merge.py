@@ -59,12 +59,12 @@ def merge_upsert(
     updates of one key in one batch resolve column by column, exactly as if
     the statements had run in sequence. A missing target counts as empty.
 
-    Where all columns are replaced, a key's last row is its result, so rows are ranked and not taken apart: each
-    goes through the shuffle once, without a copy of the columns that order it.
+    Where all columns are replaced and all take part in ``order``, a key's last row is its result, whatever ties there
+    are, so rows are ranked: each goes through the shuffle without a copy of the columns that order it.
     """
     cols = [c for c in updates.columns if c not in order] if target is None else target.columns
     by_policy = policy_columns(cols, keys, policies)
-    if by_policy[REPLACE] and not (by_policy[SET_ON_INSERT] or by_policy[KEEP_IF_NULL]):
+    if set(by_policy[REPLACE]) == {c for c in cols if c not in keys} <= set(order) and by_policy[REPLACE]:
         return _last_rows(target, updates, keys, order, cols)
     merged = _reduced(_stack(target, updates, order, cols), keys, by_policy)
     place = {c: F.col(f"_replaced.{c}") for c in by_policy[REPLACE]}

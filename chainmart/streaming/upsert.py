@@ -267,7 +267,9 @@ def upsert_into(
         # columns of an empty table are all merged, those of the order as well
         target = batch.limit(0) if target is None else target.select([c for c in batch.columns if c in target.columns])
         kept = dict.fromkeys([*target.columns, *order])
-        return merge_upsert(target, batch.select(*kept), keys, order, policies)
+        # the partition follows from the key: it changes no order, and tells that all columns may take part in it
+        by = [*dict.fromkeys([*order, partition_by])]
+        return merge_upsert(target, batch.select(*kept), keys, by, policies)
 
     return merge_into(path, partition_by, merge)
 
